@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash
-from .common import read_table
+from . import langid, mixing, packing, quality, simhash, toxicity
+from .common import fold_of, read_table
 
 WEIGHTS = (5, 2, 1)
 CAPACITY = 2048
@@ -21,6 +21,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.predict_languages(docs, langid.fit_languages(docs, modulus=4, held_out=2))
+    return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"), WEIGHTS, share=1.5, limit=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -62,6 +68,20 @@ FROM ranked
 """
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"), modulus=4, held_out=2)
+    scored = toxicity.with_prediction(toxicity.toxicity_scores(docs, model), 0.3)
+    return scored.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    net = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"), modulus=3, held_out=1)
+    scored = toxicity.with_prediction(quality.quality_scores(docs, net), 0.5)
+    return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicate_classes(read_table(spark, sf_dir, "documents"), words=3, radius=2)
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -73,7 +93,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
+    "op5_toxicity": op5_toxicity,
+    "op7_quality": op7_quality,
     "op9_simhash_neardup": op9_simhash_neardup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
