@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, simhash, toxicity
+from . import langid, linededup, mixing, packing, quality, simhash, toxicity
 from .common import fold_of, read_table
 
 WEIGHTS = (5, 2, 1)
@@ -75,6 +75,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.remove_repeated_runs(read_table(spark, sf_dir, "documents"), min_words=30)
+    return cleaned.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("removed_lines"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     net = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"), modulus=3, held_out=1)
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op7_quality": op7_quality,
     "op9_simhash_neardup": op9_simhash_neardup,
     "op10_best_fit_packing": op10_best_fit_packing,
