@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, mixing, packing, quality, simhash, toxicity
+from . import langid, linededup, mixing, packing, quality, simhash, topk, toxicity
 from .common import fold_of, read_table
 
 WEIGHTS = (5, 2, 1)
@@ -87,6 +87,28 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10, scale=1024)
+
+
+OP8_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicate_classes(read_table(spark, sf_dir, "documents"), words=3, radius=2)
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -103,9 +125,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality": op7_quality,
+    "op8_exact_topk": op8_exact_topk,
     "op9_simhash_neardup": op9_simhash_neardup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 #: DuckDB SQL of the queries that SQL can express; the tests hold the others against brute force.
-ORACLE_SQL: dict[str, str] = {"op3_mix_sources": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_mix_sources": OP3_SQL, "op8_exact_topk": OP8_SQL}
