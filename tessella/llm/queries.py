@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, mixing, packing, quality, simhash, topk, toxicity
+from . import ann, langid, linededup, mixing, packing, quality, simhash, topk, toxicity
 from .common import fold_of, read_table
 
 WEIGHTS = (5, 2, 1)
@@ -68,6 +68,11 @@ FROM ranked
 """
 
 
+def op4_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"), modulus=4, held_out=2)
@@ -122,6 +127,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
+    "op4_ann_search": op4_ann_search,
     "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality": op7_quality,
