@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, linededup, mixing, packing, quality, simhash, topk, toxicity
+from . import ann, langid, licenses, linededup, mixing, packing, quality, simhash, topk, toxicity
 from .common import fold_of, read_table
 
 WEIGHTS = (5, 2, 1)
@@ -21,6 +21,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"), threshold=0.8, shingle=5)
+    return found.select("doc_id", "license", "containment", "word")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = langid.predict_languages(docs, langid.fit_languages(docs, modulus=4, held_out=2))
@@ -125,6 +130,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_ann_search": op4_ann_search,
