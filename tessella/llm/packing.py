@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from functools import lru_cache
 
@@ -14,23 +15,70 @@ from pyspark.sql import types as T
 
 from .common import materialize, text_key
 
-#: Words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED_WORDS = 200_000
+#: Words whose ids a task remembers in each of two generations.
+REMEMBERED_WORDS = 400_000
 PIECES = T.StructType([T.StructField(n, t) for n, t in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()))])
 
 
+# The vocabulary's rule for what merges do not cross, and the characters that stand
+# for bytes (printable Latin-1 for itself, the other bytes in order from U+0100 on).
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+class PieceIds(dict):
+    """Token ids, as little-endian uint32 bytes, of single pieces, straight from the merge model."""
+
+    def __init__(self, model):
+        self.model = model
+        others = (b for b in range(256) if b not in set(PRINTABLE))
+        self.signs = {b: 256 + k for k, b in enumerate(others)}
+
+    def __missing__(self, piece: str) -> bytes:
+        signs = piece.encode("utf-8").decode("latin-1").translate(self.signs)
+        ids = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class WordIds(dict):
-    """Token ids, as little-endian uint32 bytes, of one white-space-free word."""
+    """Token ids, as little-endian uint32 bytes, of words; those used lately are remembered.
+
+    Words looked up since the last change of generation are in the dictionary itself; when it is full
+    it becomes ``old``, from which words still in use come back. An unknown word of plain Latin letters
+    is lower-cased and cut into pieces here; the tokenizer itself encodes words in which it might
+    normalize characters or find a special token.
+    """
 
     def __init__(self, tokenizer):
+        import regex
+
         self.tokenizer = tokenizer
+        self.old: dict[str, bytes] = {}
+        self.pieces = PieceIds(tokenizer.model)
+        self.cut = regex.compile(PIECE).findall
+
+    def encoded(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if (ids := self.old.get(word)) is None:
+            if len(word) > 1000 or max(word) >= "\u0130" or "<|" in word:
+                ids = self.encoded(word)
+            elif word.isalpha():
+                ids = self.pieces[word.lower()]
+            elif word[-1] in ".,!?;:" and word[:-1].isalpha():
+                ids = self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
+            else:
+                ids = b"".join(map(self.pieces.__getitem__, self.cut(word.lower())))
+            if len(word) > 64:
+                return ids
         if len(self) >= REMEMBERED_WORDS:
+            self.old = self.copy()
             self.clear()
-        if len(word) <= 64:
-            self[word] = ids
+        self[word] = ids
         return ids
 
 
@@ -42,11 +90,11 @@ def _word_ids(path: str) -> WordIds:
 
 
 def token_bytes(text: str, words: WordIds) -> bytes:
-    """Ids of a whole text. The vocabulary drops white space and merges within words only, so a
-    text's ids are those of its white-space-separated words in order. Python also splits at four
+    """Ids of a whole text, as bytes. The vocabulary drops white space and merges within words only, so
+    a text's ids are those of its white-space-separated words in order. Python also splits at four
     control characters that are symbols to the tokenizer; a text with one is encoded as it is."""
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return np.asarray(words.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return words.encoded(text)
     return b"".join(map(words.__getitem__, text.split()))
 
 
