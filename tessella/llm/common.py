@@ -2,40 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import write_through
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of the data folder; the path may belong to any store Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else one made for this session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessella-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/")
-
-
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage of ``df``: write it as Parquet to the shared folder and read it again.
+    """Cut the lineage of ``df``: written as Parquet to the folder all executors share, and read again.
 
-    Every executor can read the files, so a lost executor costs only its running tasks. Spark's
-    file system removes the folder when the session's JVM ends.
+    Every executor can read the files, so a lost executor costs only its running tasks.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessella/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_through(df, tag)
 
 
 def text_key(column: str | Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, text_key
+from .common import fresh_name, materialize, text_key
 
 
 def least_windows(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,15 +124,16 @@ def remove_repeated_runs(docs: DataFrame, min_words: int = 30, id_col: str = "do
     is the union of least windows (the fewest lines from a line on, or up to a line, that hold
     ``min_words``), so those are searched; what they cover is deleted. The first copy of a line always
     stays somewhere. ``_lines``: lines before (0 for null); ``_removed``: numbers of deleted lines
-    from 0, ascending. A null text stays null; if all lines go the text is empty; rows that repeat
+    from 0, ascending (both names get underscores in front where ``docs`` has them). A null text stays null; if all lines go the text is empty; rows that repeat
     both id and text count as one document and get the same edit; other columns are untouched.
     """
     gone = repeated_windows(line_table(docs, min_words, id_col, text_col))
     gone = gone.groupBy("id", "key").agg(F.collect_list(F.struct("start", "size")).alias("gone"))
     gone = gone.select(F.col("id").alias("_gone_id"), F.col("key").alias("_gone_key"), F.col("gone").alias("_gone"))
-    data = docs.select(*docs.columns, text_key(text_col).alias("_key"))
-    joined = data.join(gone, data[id_col].eqNullSafe(gone["_gone_id"]) & (data["_key"] == gone["_gone_key"]), "left").select(*docs.columns, "_gone")
     names = list(docs.columns)
+    lines_name, removed_name, gone_name = (fresh_name(names, n) for n in ("_lines", "_removed", "_gone"))
+    data = docs.select(F.col(id_col).alias("_doc"), text_key(text_col).alias("_key"), F.struct(*names).alias("_row"))
+    joined = data.join(gone, F.col("_doc").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key")), "left").select("_row.*", F.col("_gone").alias(gone_name))
     at = names.index(text_col)
 
     def run(batches):
@@ -155,7 +156,7 @@ def remove_repeated_runs(docs: DataFrame, min_words: int = 30, id_col: str = "do
                 texts.append(text)
             columns = [*batch.columns[:-1], pa.array(counts, pa.int32()), pa.array(removed, pa.list_(pa.int32()))]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_lines", "_removed"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, lines_name, removed_name])
 
-    schema = T.StructType([*docs.schema, T.StructField("_lines", T.IntegerType()), T.StructField("_removed", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*docs.schema, T.StructField(lines_name, T.IntegerType()), T.StructField(removed_name, T.ArrayType(T.IntegerType()))])
     return joined.mapInArrow(run, schema)

@@ -84,10 +84,10 @@ def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, l
     rank = F.try_divide(F.col("u") / (1 - F.col("u")), F.col("p") / (1 - F.col("p")))
     before = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("rank", "_id", "text_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     edge = placed.filter(own == F.col("cell")).withColumn("rank", rank).withColumn("before", before)
-    edge = edge.withColumn("extra", F.when(F.col("before") + F.col("size") / 2 <= F.col("left"), 1).otherwise(0)).drop("rank", "before")
+    edge = edge.withColumn("extra", F.when((F.col("p") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("left")), 1).otherwise(0)).drop("rank", "before")
     # No cut: the source's words end before its room does (both are whole, or zero).
     rest = placed.filter(F.col("cell").isNull() | (own != F.col("cell")))
-    rest = rest.withColumn("extra", F.when(F.col("cell").isNull(), F.when(F.col("p") > 0, 1).otherwise(0)).when(own < F.col("cell"), 1).otherwise(0))
+    rest = rest.withColumn("extra", F.when((F.col("p") > 0) & (F.col("cell").isNull() | (own < F.col("cell"))), 1).otherwise(0))
     both = rest.unionByName(edge)
     return both.select(F.col("_id").alias(id_col), "text_key", "source", "size", "source_size", "target", (F.col("whole") + F.col("extra")).alias("copies"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh_name
 from .sampling import labelled_sample
 
 #: Bytes of a chunk, from one chunk's start to the next, bytes a filter sees, bytes between its places.
@@ -158,10 +159,7 @@ def quality_scores(docs: DataFrame, net: ByteCnn, id_col: str = "doc_id", text_c
     shared = docs.sparkSession.sparkContext.broadcast(net)
     names = keep if keep is not None else [id_col]
     columns = list(dict.fromkeys([*names, text_col]))
-    taken = {c.lower() for c in columns}
-    score_name = "score"
-    while score_name in taken:
-        score_name = "_" + score_name
+    score_name = fresh_name(columns, "score")
 
     def run(batches):
         for batch in batches:

@@ -123,7 +123,8 @@ def near_links(fps: DataFrame, radius: int = 2, pair_limit: int = 16) -> DataFra
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
-    """``(<id>, text_key, fp, component_id)`` per row; component_id is the smallest id reachable by links.
+    """``(<id>, text_key, fp, root, component_id)`` per row; component_id is the smallest id reachable by
+    links, root the smallest fingerprint.
 
     A null text, or one without a word, has fingerprint zero and is linked like any other. A null id
     is no candidate for component_id (null only if the whole component has none); repeated rows stay
@@ -137,10 +138,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     shared = placed.filter("root <> fp").select("root").distinct()
     linked = placed.join(shared, "root", "left_semi")
     ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = linked.join(ids, "root").select("fp", "component_id").unionByName(
-        placed.join(shared, "root", "left_anti").select("fp", F.col("least_id").alias("component_id"))
+    classes = linked.join(ids, "root").select("fp", "root", "component_id").unionByName(
+        placed.join(shared, "root", "left_anti").select("fp", "root", F.col("least_id").alias("component_id"))
     )
-    return rows.join(classes, "fp").select(id_col, "text_key", "fp", "component_id")
+    return rows.join(classes, "fp").select(id_col, "text_key", "fp", "root", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
@@ -149,13 +150,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Nulls sort first among ids. If the chosen row is repeated, one of its equal copies stays.
     """
     classes = near_duplicate_classes(docs, id_col, text_col, words, radius)
-    # Without an id the class has no component_id; its fingerprint then stands for it.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp")))
     head = F.struct(F.col(id_col).alias("id"), F.col("text_key").alias("key"))
-    copies = classes.groupBy(group.alias("g"), head.alias("h")).agg(F.count("*").alias("n"))
+    copies = classes.groupBy(F.col("root").alias("g"), head.alias("h")).agg(F.count("*").alias("n"))
     chosen = materialize(copies.groupBy("g").agg(F.min(F.struct("h", "n")).alias("c")).select(F.col("c.h.id").alias("_id"), F.col("c.h.key").alias("_key"), (F.col("c.n") > 1).alias("_again")), "chosen")
-    data = docs.select(*docs.columns, text_key(text_col).alias("_text_key"))
-    match = data[id_col].eqNullSafe(chosen["_id"]) & (data["_text_key"] == chosen["_key"])
-    kept = data.join(chosen, match).drop("_id", "_key")
-    once = kept.filter(~F.col("_again")).select(*docs.columns)
-    return once.unionByName(kept.filter("_again").dropDuplicates([id_col, "_text_key"]).select(*docs.columns))
+    # The whole row travels as one column, so no name of its own can clash.
+    data = docs.select(F.col(id_col).alias("_doc"), text_key(text_col).alias("_text_key"), F.struct(*docs.columns).alias("_row"))
+    kept = data.join(chosen, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    once = kept.filter(~F.col("_again")).select("_row.*")
+    return once.unionByName(kept.filter("_again").dropDuplicates(["_doc", "_text_key"]).select("_row.*"))
