@@ -99,7 +99,7 @@ class Grammar:
 
 @dataclass
 class Lexicon:
-    """Insults learned from labels: whole words, and stems that any ending may follow."""
+    """Insults learned from labels: whole words, and stems that some ending must follow."""
 
     words: frozenset[str]
     stems: tuple[str, ...]
@@ -114,16 +114,15 @@ class Lexicon:
             import ahocorasick
 
             scan = ahocorasick.Automaton()
-            for w in (*self.words, *THREATS.split()):
-                scan.add_word(w, (len(w), True))
-            for w in self.stems:
-                scan.add_word(w, (len(w), False))
+            whole = {*self.words, *THREATS.split()}
+            for w in {*whole, *self.stems}:
+                scan.add_word(w, (len(w), w in whole, w in self.stems))
             scan.make_automaton()
             self._scan = scan
         return self._scan
 
     def is_insult(self, word: str) -> bool:
-        return word in self.words or word.startswith(self.stems)
+        return word in self.words or any(len(word) > len(s) and word.startswith(s) for s in self.stems)
 
 
 def _letter(text: str, at: int) -> bool:
@@ -134,9 +133,9 @@ def clauses_with_triggers(text: str, lexicon: Lexicon):
     """The clauses, lower-cased, that hold a trigger at a word's start; each once, in order."""
     low = text.lower()
     done = 0
-    for end, (size, whole) in lexicon.scanner().iter(low):
+    for end, (size, whole, stem) in lexicon.scanner().iter(low):
         start = end - size + 1
-        if start < done or _letter(low, start - 1) or (whole and _letter(low, end + 1)):
+        if start < done or _letter(low, start - 1) or not (stem if _letter(low, end + 1) else whole):
             continue
         first = max((low.rfind(c, done, start) for c in ".!?;\n"), default=-1) + 1
         stop = CLAUSE_END.search(low, end + 1)
@@ -173,60 +172,77 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -30, 30)))
 
 
-def learn_lexicon(sample: list[tuple[str, int]], shortest: int = 3, longest: int = 8, ratio: float = 20.0, most: int = 400) -> Lexicon:
+def learn_lexicon(sample: list[tuple[str, int]], shortest: int = 3, longest: int = 8, ratio: float = 8.0, most: int = 400) -> Lexicon:
     """Insults that set label 1 apart, chosen one by one over the positive texts not yet explained.
 
-    Candidates are word beginnings of ``shortest`` to ``longest`` letters. One is accepted if its share
-    of positive texts is ``ratio`` times its share of negative ones or more. The candidate that explains
-    most unexplained texts comes next; it is lengthened while a longer one explains as many of them
-    (within a twentieth). If a single word makes up its matches it is kept as a whole word, else as a stem.
+    Candidates are whole words ("word$") and true beginnings of words of ``shortest`` to ``longest``
+    letters ("stem*"). One is accepted if its share of positive texts is ``ratio`` times its share of
+    negative ones or more. The one of most worth for the unexplained texts comes next; it gives way to
+    longer forms that do as well (see ``_refined``). Candidates that no
+    negative text has and many positive ones do follow, as they may share texts with those chosen.
     """
     bags = [frozenset(TOKEN.findall(t.lower())) for t, _ in sample]
     positive = [i for i, (_, y) in enumerate(sample) if y == 1]
     negative = [i for i, (_, y) in enumerate(sample) if y == 0]
 
-    def starts(bag: frozenset[str]) -> set[str]:
-        return {w[:k] for w in bag for k in range(shortest, min(longest, len(w)) + 1)}
+    def forms(bag: frozenset[str]) -> set[str]:
+        return {w + "$" for w in bag if len(w) >= shortest} | {w[:k] + "*" for w in bag for k in range(shortest, min(longest, len(w) - 1) + 1)}
 
-    clean = Counter(s for i in negative for s in starts(bags[i]))
-    own = {i: starts(bags[i]) for i in positive}
+    clean = Counter(s for i in negative for s in forms(bags[i]))
+    own = {i: forms(bags[i]) for i in positive}
     total = Counter(s for i in positive for s in own[i])
     n1, n0 = len(positive) + 1, len(negative) + 1
-    good = {s for s, n in total.items() if n >= 3 and (n + 0.5) / n1 >= ratio * (clean[s] + 0.5) / n0}
-    words: set[str] = set()
-    stems: list[str] = []
+    good = {s for s, n in total.items() if n >= 4 and (n + 0.5) / n1 >= ratio * (clean[s] + 0.5) / n0}
+    chosen: list[str] = []
     left = set(positive)
     explained = Counter(s for i in left for s in own[i] & good)
-    while left and explained and len(words) + len(stems) < most:
-        top = max(explained.values())
-        if top < max(3, 0.002 * len(positive)):
+    # What a candidate is worth: the share it explains, less thrice its share of the negative texts.
+    worth = lambda s: explained[s] / n1 - 3 * clean[s] / n0
+    while left and explained and len(chosen) < most:
+        best = max(explained, key=lambda s: (worth(s), -len(s), s))
+        if worth(best) <= 0 or explained[best] < max(3, 0.002 * len(positive)):
             break
-        best = min((s for s, n in explained.items() if n == top), key=lambda s: (len(s), s))
-        while longer := [s for s in explained if len(s) == len(best) + 1 and s.startswith(best) and explained[s] >= 0.95 * top]:
-            best = max(longer, key=lambda s: (explained[s], s))
-        full = Counter(w for i in positive for w in bags[i] if w.startswith(best))
+        for best in _refined(best, {i for i in left if best in own[i]}, own, clean, good):
+            chosen.append(best)
+            gone = {i for i in left if best in own[i]}
+            left -= gone
+            for i in gone:
+                explained.subtract(own[i] & good)
+    stems, words = [], {s[:-1] for s in chosen if s[-1] == "$"}
+    for stem in (s[:-1] for s in chosen if s[-1] == "*"):
+        full = Counter(w for i in positive for w in bags[i] if w.startswith(stem) and len(w) > len(stem))
         word, n = full.most_common(1)[0]
         if n >= 0.9 * sum(full.values()):
             words.add(word)
         else:
-            stems.append(best)
-        gone = {i for i in left if best in own[i]}
-        left -= gone
-        for i in gone:
-            explained.subtract(own[i] & good)
-        # Words that share texts with those chosen count as insults too where they are as telling.
-    for s in sorted(good, key=lambda s: (len(s), s)):
-        n, c = total[s], clean[s]
-        if c == 0 and n >= max(12, 0.02 * len(positive)) and not s.startswith(tuple(stems) or ("\0",)) and not any(w.startswith(s) for w in words):
-            full = Counter(w for i in positive for w in bags[i] if w.startswith(s))
-            word, m = full.most_common(1)[0]
-            if m >= 0.9 * sum(full.values()):
-                words.add(word)
-            elif len(s) >= 4:
-                stems.append(s)
+            stems.append(stem)
+    for s in sorted(good, key=lambda s: (-len(s), s)):
+        word = s[:-1]
+        if clean[s] or total[s] < max(12, 0.02 * len(positive)) or word.startswith(tuple(stems) or ("\0",)):
+            continue
+        if s[-1] == "$":
+            words.add(word)
+        elif len(word) >= 4 and not any(x.startswith(word) for x in (*stems, *words)):
+            stems.append(word)
     return Lexicon(frozenset(words), tuple(stems))
 
 
+def _refined(stem: str, texts: set[int], own: dict[int, set[str]], clean: Counter, good: set[str]) -> list[str]:
+    """The forms a letter longer, if they explain the same texts (but for a twentieth) and either one
+    does alone or together they stand in half as many negative texts; and so on; else the stem itself."""
+    if stem[-1] == "$":
+        return [stem]
+    longer = {s for i in texts for s in own[i] & good if len(s) == len(stem) + 1 and s.startswith(stem[:-1])}
+    best = max(longer, key=lambda s: (sum(s in own[i] for i in texts), -clean[s], s), default=None)
+    if best and sum(best in own[i] for i in texts) >= 0.95 * len(texts):
+        return _refined(best, {i for i in texts if best in own[i]}, own, clean, good)
+    shared = [s for s in sorted(longer) if clean[s] * 20 <= sum(s in own[i] for i in texts)]
+    both = {i for i in texts if any(s in own[i] for s in shared)}
+    if clean[stem] and len(both) >= 0.95 * len(texts) and 2 * sum(clean[s] for s in shared) <= clean[stem]:
+        return [x for s in shared for x in _refined(s, {i for i in texts if s in own[i]}, own, clean, good)]
+    return [stem]
+
+
 def train(sample: list[tuple[str, int]], counts: dict[int, int]) -> ToxicityModel:
     """Learn the lexicon, then weights of the clause patterns by ridge logistic regression.
 

@@ -236,7 +236,8 @@ def test_grammar():
     assert grammar.patterns([r, t, n, i]) == ["insult+aimed+negated+reported"]
     assert grammar.patterns([g, th]) == ["meant"] and grammar.patterns([w, th, w]) == ["threat"]
     lexicon = toxicity.Lexicon(frozenset({"dolt"}), ("bloc",))
-    assert list(toxicity.clauses_with_triggers("Fine. You dolt! Adolt, blockhead? dolts", lexicon)) == [" you dolt", " adolt, blockhead"]
+    assert list(toxicity.clauses_with_triggers("Fine. You dolt! Adolt, blockhead? dolts; a bloc.", lexicon)) == [" you dolt", " adolt, blockhead"]
+    assert lexicon.is_insult("blocks") and not lexicon.is_insult("bloc")
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables")
