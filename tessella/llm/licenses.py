@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_key
+from .common import materialize, text_key
 
 # The notices to look for, by name.
 TEMPLATES = {
@@ -103,7 +103,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     low = F.lower(F.col(text_col))
     gate = F.exists(F.array(low), lambda t: reduce(Column.__or__, (t.contains(a) for a in parts)) & t.rlike(pattern))
     found = docs.filter(gate).select(F.col(id_col).alias("_id"), text_key(text_col).alias("_key"), F.regexp_extract_all(low, F.lit(WORD), 0).alias("words"))
-    found = found.select("_id", "_key", _shingles(F.col("words"), shingle).alias("sh"), F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get(F.col("words"), i).isin(anchors)).alias("at"))
+    # Written, as the optimizer would else put these arrays' definitions into filters it derives from
+    # explode, and compute them again for each element.
+    found = materialize(found, "words")
+    found = found.select("_id", "_key", _shingles(F.col("words"), shingle).alias("sh"), F.filter(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0))), lambda i: F.get(F.col("words"), i).isin(anchors)).alias("at"))
+    found = materialize(found, "shingles")
     last = F.greatest(F.size("sh") - 1, F.lit(0))
 
     def windows_of(n: int) -> Column:
@@ -113,12 +117,12 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
         starts = F.array_distinct(F.flatten(about))
         return F.transform(starts, lambda k: F.struct(F.lit(n).alias("n"), (k * step).alias("start"), F.slice("sh", k * step + 1, F.lit(n)).alias("window"), F.slice("sh", F.greatest(k * step - step, F.lit(0)) + 1, F.lit(n + 2 * step)).alias("wide")))
 
-    windows = found.filter(F.size("sh") > 0).select("_id", "_key", F.explode(F.concat(*map(windows_of, sizes))).alias("w"))
-    windows = windows.select("_id", "_key", "w.n", "w.start", "w.wide", _bands(F.col("w.window")).alias("bands"))
+    windows = found.select("_id", "_key", F.explode(F.concat(*map(windows_of, sizes))).alias("w"))
+    windows = windows.select("_id", "_key", "w.n", "w.start", "w.wide", F.explode(_bands(F.col("w.window"))).alias("b"))
     table = _template_table(docs.sparkSession, templates, shingle)
     # The templates: a row for each and each band, a number the caller's templates set.
     keys = F.broadcast(table.select("license", F.col("total").alias("n"), F.explode("bands").alias("b")).groupBy("n", "b.band", "b.least").agg(F.collect_set("license").alias("licenses")))
-    hits = windows.select("_id", "_key", "n", "start", "wide", F.explode("bands").alias("b")).join(keys, (F.col("b.band") == keys["band"]) & (F.col("b.least") == keys["least"]) & (windows["n"] == keys["n"]))
+    hits = windows.join(keys, (F.col("b.band") == keys["band"]) & (F.col("b.least") == keys["least"]) & (windows["n"] == keys["n"]))
     hits = hits.select("_id", "_key", "start", "wide", F.explode("licenses").alias("license"))
     own = F.broadcast(table.select("license", "total", "own"))
     judged = hits.join(own, "license").withColumn("containment", F.size(F.array_intersect("wide", "own")) / F.col("total"))
