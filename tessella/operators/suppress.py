@@ -16,6 +16,8 @@ from ..storage import write_through
 GROUP_LIMIT = 100_000
 #: A box over more cells than this is compared with all instead of being listed in each.
 WIDE = 64
+#: Most pairs of a group that are compared block by block, and pairs of a block.
+PAIRS, BLOCK = 100_000_000, 500_000
 
 
 @dataclass(frozen=True)
@@ -102,41 +104,93 @@ def _areas(rule: Rule, box: np.ndarray) -> np.ndarray:
     return plain + bx.EPS_AREA if rule.by_area else plain
 
 
-def _conflicts(rule: Rule, box: np.ndarray, conf: float, area: float, kept: np.ndarray, kept_conf: np.ndarray, kept_area: np.ndarray) -> bool:
-    """Whether one of the ``kept`` boxes rules out ``box``."""
-    w = np.minimum(kept[:, 2], box[2]) - np.maximum(kept[:, 0], box[0])
-    h = np.minimum(kept[:, 3], box[3]) - np.maximum(kept[:, 1], box[1])
+def _conflicts(rule: Rule, box: np.ndarray, conf: np.ndarray, area: np.ndarray, kept: np.ndarray, kept_conf: np.ndarray, kept_area: np.ndarray) -> np.ndarray:
+    """For each pair whether the box of ``kept``, were it kept, rules out that of ``box``; either side may be a single box."""
+    w = np.minimum(kept[..., 2], box[..., 2]) - np.maximum(kept[..., 0], box[..., 0])
+    h = np.minimum(kept[..., 3], box[..., 3]) - np.maximum(kept[..., 1], box[..., 1])
     inter = np.maximum(w, 0) * np.maximum(h, 0)
     if rule.iou is not None:
         union = kept_area + area - inter
         share = inter / (np.maximum(union, bx.EPS_AREA) if rule.ordered else union + bx.EPS_AREA)
-        return bool((share >= rule.iou).any() if rule.inclusive else (share > rule.iou).any())
+        return share >= rule.iou if rule.inclusive else share > rule.iou
     t = rule.tolerance
-    near = (box[0] >= kept[:, 0] - t) & (box[1] >= kept[:, 1] - t) & (box[2] <= kept[:, 2] + t) & (box[3] <= kept[:, 3] + t)
+    near = (box[..., 0] >= kept[..., 0] - t) & (box[..., 1] >= kept[..., 1] - t) & (box[..., 2] <= kept[..., 2] + t) & (box[..., 3] <= kept[..., 3] + t)
     hit = near | (inter / area >= rule.coverage)
     if rule.margin is not None:
         hit &= conf <= kept_conf + rule.margin
-    return bool(hit.any())
+    return hit
 
 
 def kept_indices(rule: Rule, box: np.ndarray, conf: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Rows kept, in visiting order. Kept boxes are listed by cell, so a box meets only those near it."""
+    """Rows kept, in visiting order.
+
+    Boxes are listed by grid cell, and the pairs of a cell compared a block at a time; the visit then
+    only walks the conflicts. Where cells hold too many pairs, or boxes cover too many cells, boxes
+    are visited one by one against the kept ones near them, which needs no list of pairs.
+    """
     if not len(box):
         return np.zeros(0, np.int64)
     box = box.astype(np.float64)
     if rule.ordered:
         box = np.column_stack([np.minimum(box[:, 0], box[:, 2]), np.minimum(box[:, 1], box[:, 3]), np.maximum(box[:, 0], box[:, 2]), np.maximum(box[:, 1], box[:, 3])])
     areas = _areas(rule, box)
+    order = visiting_order(rule, box, conf, ids)
     low = np.minimum(box[:, :2], box[:, 2:]) - rule.tolerance
     high = np.maximum(box[:, :2], box[:, 2:]) + rule.tolerance
     side = max(1.0, float(np.median(high - low)) * 2)
     cells = np.floor(np.hstack([low, high]) / side)
     many = (cells[:, 2] - cells[:, 0] + 1) * (cells[:, 3] - cells[:, 1] + 1) > WIDE
     cells = np.where(many[:, None], 0, cells).astype(np.int64)
+    if not many.any() and (edges := _edges(rule, box, conf, areas, order, cells)) is not None:
+        alive = np.ones(len(box), bool)
+        hi, lo = edges
+        starts = np.flatnonzero(np.r_[True, hi[1:] != hi[:-1]]) if len(hi) else np.zeros(0, np.int64)
+        for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(hi)], strict=False):
+            if alive[hi[first]]:
+                alive[lo[first:last]] = False
+        return order[alive[order]]
+    return _visit(rule, box, conf, areas, order, cells, many)
+
+
+def _edges(rule: Rule, box: np.ndarray, conf: np.ndarray, areas: np.ndarray, order: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Conflicts as (earlier, later) rows, by the earlier's turn; None where there are too many pairs."""
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    width, height = cells[:, 2] - cells[:, 0] + 1, cells[:, 3] - cells[:, 1] + 1
+    row = np.repeat(np.arange(len(box)), width * height)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(width * height) - width * height, width * height)
+    cx, cy = cells[row, 0] + k % width[row], cells[row, 1] + k // width[row]
+    turn = np.lexsort((rank[row], cy, cx))
+    row, cx, cy = row[turn], cx[turn], cy[turn]
+    new = np.r_[True, (cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1])]
+    end = np.append(np.flatnonzero(new)[1:], len(row))[np.cumsum(new) - 1]
+    later = end - 1 - np.arange(len(row))  # entries of the same cell that come later
+    total = np.cumsum(later)
+    if total[-1] > PAIRS:
+        return None
+    found = []
+    at = 0
+    while at < len(row):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + BLOCK, side="right")))
+        left = np.repeat(np.arange(at, stop), later[at:stop])
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(later[at:stop]) - later[at:stop], later[at:stop])
+        a, b = row[left], row[right]
+        # A pair that shares several cells counts in the first of them only.
+        once = (cx[left] == np.maximum(cells[a, 0], cells[b, 0])) & (cy[left] == np.maximum(cells[a, 1], cells[b, 1]))
+        a, b = a[once], b[once]
+        hit = _conflicts(rule, box[b], conf[b], areas[b], box[a], conf[a], areas[a])
+        found.append((a[hit], b[hit]))
+        at = stop
+    hi, lo = (np.concatenate(x) for x in zip(*found, strict=True))
+    turn = np.argsort(rank[hi], kind="stable")
+    return hi[turn], lo[turn]
+
+
+def _visit(rule: Rule, box: np.ndarray, conf: np.ndarray, areas: np.ndarray, order: np.ndarray, cells: np.ndarray, many: np.ndarray) -> np.ndarray:
     by_cell: dict[tuple[int, int], list[int]] = {}
     wide: list[int] = []
     kept: list[int] = []
-    for i in visiting_order(rule, box, conf, ids).tolist():
+    for i in order.tolist():
         if many[i]:
             near = kept
         else:
@@ -145,7 +199,7 @@ def kept_indices(rule: Rule, box: np.ndarray, conf: np.ndarray, ids: np.ndarray)
             near = list({k for p in places for k in by_cell.get(p, ())}) + wide
         if near:
             n = np.array(near)
-            if _conflicts(rule, box[i], conf[i], areas[i], box[n], conf[n], areas[n]):
+            if _conflicts(rule, box[i], conf[i], areas[i], box[n], conf[n], areas[n]).any():
                 continue
         kept.append(i)
         if many[i]:

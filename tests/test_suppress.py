@@ -67,12 +67,17 @@ def test_threshold_itself():
 
 
 @pytest.mark.parametrize("rule", RULES, ids=lambda r: f"{r.name}{r.coverage or r.iou}")
-def test_kernel_equals_model(rule):
+@pytest.mark.parametrize("limits", [(10**8, 10**5), (10**8, 7), (0, 1)])
+def test_kernel_equals_model(rule, limits, monkeypatch):
+    """In blocks, in tiny blocks and one by one; with and without very large boxes."""
+    monkeypatch.setattr(sp, "PAIRS", limits[0])
+    monkeypatch.setattr(sp, "BLOCK", limits[1])
     rng = np.random.default_rng(3)
     for n in (1, 7, 60, 250):
         xy = rng.integers(0, 120, (n, 2))
         wh = rng.integers(0, 40, (n, 2))
-        wh[: n // 20] = 300
+        if n > 100:
+            wh[: n // 20] = 300
         box = np.hstack([xy, xy + wh]).astype(float)
         if rule.ordered:
             flip = rng.random(n) < 0.2
