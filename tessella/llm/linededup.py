@@ -66,7 +66,8 @@ def _same_document(left: DataFrame, right: DataFrame, offset: Column) -> Column:
 
 def _repeated(named: DataFrame) -> DataFrame:
     """The rows whose class (a, b) stands at two places or more."""
-    often = named.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
+    # Written, so that the join deals both sides anew and Spark can split the rows of a very common name.
+    often = materialize(named.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b"), "often")
     return named.join(often, ["a", "b"], "left_semi")
 
 
@@ -111,7 +112,7 @@ def repeated_windows(lines: DataFrame) -> DataFrame:
     every = materialize(every, "named")
     name = ["size", "a", "b", "c", "d"]
     place = F.struct(F.col("id").alias("id"), F.col("key").alias("key"), F.col("start").alias("start"))
-    heads = every.groupBy(*name).agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    heads = materialize(every.groupBy(*name).agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n"), "heads")
     return every.join(heads, name).filter(place > F.col("head")).select("id", "key", "start", "size")
 
 
