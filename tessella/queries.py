@@ -11,7 +11,7 @@ from . import fixtures as fx
 from .functions import boxes as bx
 from .functions import georef, naming
 from .operators import evaluate as ev
-from .operators import labels, profile, split, stretch, suppress, tiling
+from .operators import labels, profile, score, split, stretch, suppress, tiling
 from .plans import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -469,6 +469,34 @@ def infer_counters(spark, sf_dir):
     return profile.status_counts(fx.tiled_detections(spark, sf_dir).withColumn("status", F.when(F.col("tile_c") % 11 == 0, "failed_read").otherwise("ok")))
 
 
+def _stub_scorer():
+    """Stands for a model: boxes that a tile's content determines; some contents make it fail."""
+
+    def scorer(content):
+        v = int(content)
+        if v % 11 == 0:
+            raise ValueError("cannot be scored")
+        return [(v % 50 + k, v % 40, v % 50 + k + 10, v % 40 + 5, (k + 1) / 8, k) for k in range(v % 4)]
+
+    return scorer
+
+
+_SCORE = fx.TILED + """, named AS (SELECT DISTINCT CASE WHEN tile_r%13=5 THEN replace(tile,'tile','tule') ELSE tile END AS tile, tile_r%13=5 AS bad, tile_r, tile_c, tile_c*7+tile_r AS v FROM tiled),
+judged AS (SELECT *, CASE WHEN bad THEN 'bad_name' WHEN v%17=3 THEN 'failed_read' WHEN v%11=0 THEN 'failed_infer' ELSE 'ok' END AS status FROM named),
+boxes AS (SELECT tile, tile_r, tile_c, v, k FROM (SELECT *, unnest(range(1, v%4)) AS k FROM judged WHERE status='ok'))
+SELECT tile, status, CAST(NULL AS DOUBLE) AS x1, CAST(NULL AS DOUBLE) AS y2, CAST(NULL AS DOUBLE) AS conf FROM judged WHERE status<>'ok' OR v%4<2
+UNION ALL SELECT tile, 'ok', v%50+k+tile_c*64, v%40+5+tile_r*64, (k+1)/8 FROM boxes"""
+
+
+@query("score_tiles", f"WITH {_SCORE}")
+def score_tiles(spark, sf_dir):
+    d = fx.tiled_detections(spark, sf_dir).select("tile", "tile_r", "tile_c").distinct()
+    v = F.col("tile_c") * 7 + F.col("tile_r")
+    name = F.when(F.col("tile_r") % 13 == 5, F.replace("tile", F.lit("tile"), F.lit("tule"))).otherwise(F.col("tile"))
+    tiles = d.select(name.alias("tile"), F.when(v % 17 != 3, v.cast("string").cast("binary")).alias("content"))
+    return score.score_tiles(tiles, _stub_scorer, STRIDE, conf=0.25).select("tile", "status", "x1", "y2", "conf")
+
+
 @query("draw_list", f"WITH {fx.TILED}, loc AS (SELECT *, " + ", ".join(f"greatest(0,least(cast(round_even({c}-{t}*64,0) AS int),255)) {o}" for c, t, o in (("x1", "tile_c", "lx1"), ("y1", "tile_r", "ly1"), ("x2", "tile_c", "lx2"), ("y2", "tile_r", "ly2"))) + " FROM tiled WHERE conf>=0.25) SELECT det_id, tile, least(lx1,lx2) dx1, least(ly1,ly2) dy1, greatest(lx1,lx2) dx2, greatest(ly1,ly2) dy2, greatest(0, least(ly1,ly2)-5) AS text_y FROM loc")
 def draw_list(spark, sf_dir):
     return pipelines.draw_list(fx.tiled_detections(spark, sf_dir), STRIDE, 256, 256).select("det_id", "tile", "dx1", "dy1", "dx2", "dy2", "text_y")
