@@ -135,9 +135,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     nodes = rows.groupBy("fp").agg(F.min(id_col).alias("least_id"))
     roots = connected_components(near_links(nodes, radius)).withColumnRenamed("node", "fp")
     placed = materialize(nodes.join(roots, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")), "placed")
-    shared = placed.filter("root <> fp").select("root").distinct()
+    # Written, so that joins deal both sides anew and Spark can split the rows of a very large class.
+    shared = materialize(placed.filter("root <> fp").select("root").distinct(), "shared")
     linked = placed.join(shared, "root", "left_semi")
-    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    ids = materialize(linked.groupBy("root").agg(F.min("least_id").alias("component_id")), "ids")
     classes = linked.join(ids, "root").select("fp", "root", "component_id").unionByName(
         placed.join(shared, "root", "left_anti").select("fp", "root", F.col("least_id").alias("component_id"))
     )
