@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .common import materialize, text_key
 
 #: Words whose ids a task remembers in each of two generations.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 300_000
 PIECES = T.StructType([T.StructField(n, t) for n, t in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()))])
 
 
