@@ -150,7 +150,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Nulls sort first among ids. If the chosen row is repeated, one of its equal copies stays.
     """
-    classes = near_duplicate_classes(docs, id_col, text_col, words, radius)
+    return keep_heads(docs, near_duplicate_classes(docs, id_col, text_col, words, radius), id_col, text_col)
+
+
+def keep_heads(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest (id, text key) of each ``root`` in ``classes``, once."""
     head = F.struct(F.col(id_col).alias("id"), F.col("text_key").alias("key"))
     copies = classes.groupBy(F.col("root").alias("g"), head.alias("h")).agg(F.count("*").alias("n"))
     chosen = materialize(copies.groupBy("g").agg(F.min(F.struct("h", "n")).alias("c")).select(F.col("c.h.id").alias("_id"), F.col("c.h.key").alias("_key"), (F.col("c.n") > 1).alias("_again")), "chosen")
