@@ -201,19 +201,28 @@ def compile_ppm(samples: dict[str, list[bytes]]) -> PpmModel:
 def fit_languages(docs: DataFrame, modulus: int = 4, held_out: int = 2, docs_per_lang: int = 300, max_chars: int = 12_000, max_langs: int = 64, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> PpmModel:
     """Context trees from at most ``docs_per_lang`` texts of at most ``max_chars`` for each language.
 
-    Only rows with text and language whose crc32(id) mod ``modulus`` is not ``held_out`` count; of
-    more languages than ``max_langs`` the most frequent are learned. The sample is the same on every run.
+    Only rows with text and language whose crc32(id) mod ``modulus`` is not ``held_out`` count. A
+    language with too few such texts is also learned from the middles of longer ones. More languages
+    than ``max_langs`` are a ValueError. The sample is the same on every run.
     """
     known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")).filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull()).filter(fold_of("_id", modulus) != held_out)
-    fit = known.filter((F.length("_text") <= max_chars) & (F.length("_text") > 0))
-    counts = sorted(((r[1], r[0]) for r in fit.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(max_langs).collect()), reverse=True)
+    known = known.filter(F.length("_text") > 0)
+    short = F.length("_text") <= max_chars
+    found = known.groupBy("_lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).limit(max_langs + 1).collect()
+    if len(found) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
+    few = [r["_lang"] for r in found if r["short"] < docs_per_lang]
+    fit = known.filter(short | F.col("_lang").isin(few))
+    counts = sorted(((r["n"] if r["short"] < docs_per_lang else r["short"], r["_lang"]) for r in found), key=lambda c: (-c[0], c[1]))
     samples: dict[str, list[bytes]] = {}
     if counts:
         # A share of each language by a hash of its rows, twice as large as needed, then the smallest hashes.
         share = F.create_map(*(F.lit(x) for n, lang in counts for x in (lang, min(1.0, 2 * docs_per_lang / n))))[F.col("_lang")]
         u = F.xxhash64(F.lit("langid"), "_id", "_text")
         drawn = fit.withColumn("_u", u).filter((F.col("_u") / F.lit(2.0**64) + 0.5) < share)
-        some = drawn.orderBy("_u").limit(3 * docs_per_lang * len(counts)).select("_lang", "_text").collect()
+        some = drawn.orderBy("_u").limit(3 * docs_per_lang * len(counts))
+        middle = F.col("_text").substr(F.floor(F.greatest(F.length("_text") - max_chars, F.lit(0)) / 2).cast("int") + 1, F.lit(max_chars))
+        some = some.select("_lang", middle.alias("_text")).collect()
         for lang, text in some:
             if len(own := samples.setdefault(lang, [])) < docs_per_lang:
                 own.append(text.encode("utf-8"))
