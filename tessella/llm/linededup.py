@@ -1,10 +1,10 @@
-"""Removal of repeated line runs by distributed prefix doubling over line ids."""
+"""Removal of repeated line runs: a suffix array over line ids by distributed prefix doubling, and its intervals."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,49 +60,62 @@ def line_table(docs: DataFrame, min_words: int, id_col: str = "doc_id", text_col
     return docs.select(F.col(id_col), text_key(text_col).alias("key"), F.col(text_col)).mapInArrow(run, schema)
 
 
-def _same_document(left: DataFrame, right: DataFrame, offset: Column) -> Column:
-    return left["id"].eqNullSafe(right["id"]) & (left["key"] == right["key"]) & (left["i"] + offset == right["i"])
+def _ranked(named: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``r`` of the rows whose name (a, b) stands at two places or more: ``r`` is the name's rank.
 
-
-def _repeated(named: DataFrame) -> DataFrame:
-    """The rows whose class (a, b) stands at two places or more."""
+    Ranks count the repeated names in ascending order from 1. Names are sorted in ranges, one task a
+    range; only the ranges' sizes are added up in one place.
+    """
+    often = named.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
     # Written, so that the join deals both sides anew and Spark can split the rows of a very common name.
-    often = materialize(named.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b"), "often")
-    return named.join(often, ["a", "b"], "left_semi")
+    spread = materialize(often.repartitionByRange("a", "b").withColumn("part", F.spark_partition_id()), "names")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range.
+    sizes = spread.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("a", "b"))
+    ranks = spread.withColumn("own", inside).join(F.broadcast(sizes), "part").select("a", "b", (F.col("before") + F.col("own")).alias("r"))
+    return named.join(materialize(ranks, "ranks"), ["a", "b"]).select(*keep, "r")
+
+
+def _at(level: DataFrame, place: str, rank: str) -> DataFrame:
+    return level.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("i").alias(place), F.col("r").alias(rank))
+
+
+def _on(left: DataFrame, right: DataFrame, places: Column) -> DataFrame:
+    """Rows of one document whose places meet."""
+    return left.join(right, left["id"].eqNullSafe(right["_id"]) & (left["key"] == right["_key"]) & places).drop("_id", "_key")
 
 
 def repeated_windows(lines: DataFrame) -> DataFrame:
     """``(id, key, start, size)``: least windows of whole lines that stand at an earlier place too.
 
-    Level k of the doubling names the run of 2^k lines at each place by the names of its two halves,
-    so that places share a name exactly if their runs are equal: the names at a level are the
-    intervals of the suffix array whose common prefix is 2^k lines or longer. Places that are alone
-    in their interval drop out, as no longer run at them repeats. A window of m lines, 2^k <= m <
-    2^(k+1), is named by the runs of 2^k lines at its two ends, which overlap and cover it; places
-    of equal name and m form the interval of depth m, whose first place stays as it is.
+    Level k of the doubling ranks the runs of 2^k lines that stand at two places or more: pairs of
+    ranks of the halves, sorted, get ranks of their own. Rank order is that of the suffix array at
+    depth 2^k (lines compare by id), and places of equal rank are its intervals of common prefixes
+    of 2^k lines or longer. A place that is alone in its interval has its final place in the array
+    and leaves, as no longer run at it repeats. The interval of depth m, 2^k <= m < 2^(k+1), at a
+    place is that of equal ranks of the two runs of 2^k lines that begin and end the m lines, as
+    they overlap and cover them; the first place of an interval stays as it is.
     """
     lines = materialize(lines, "lines")
-    level = materialize(_repeated(lines), "level0")
+    # Rows that repeat id and text list the same places: once is enough, and more would multiply.
+    level = materialize(_ranked(lines, ["id", "key", "i", "ahead", "back"]).dropDuplicates(["id", "key", "i"]), "level0")
     windows = level.select("id", "key", F.col("i").alias("start"), F.col("ahead").alias("size")).unionByName(
         level.select("id", "key", (F.col("i") - F.col("back") + 1).alias("start"), F.col("back").alias("size"))
     ).filter("size > 0").distinct()
     windows = materialize(windows, "windows")
     longest = windows.agg(F.max("size")).first()[0] or 0
-    level = level.select("id", "key", "i", "a", "b")
+    level = level.select("id", "key", "i", "r")
     named = []
     k = 1
     while k <= longest:
         now = windows.filter((F.col("size") >= k) & (F.col("size") < 2 * k))
-        first = level.select("id", "key", F.col("i").alias("start"), "a", "b")
-        both = now.join(first, now["id"].eqNullSafe(first["id"]) & (now["key"] == first["key"]) & (now["start"] == first["start"])).select(now["id"], now["key"], now["start"], "size", "a", "b")
-        last = level.select(F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("i").alias("i2"), F.col("a").alias("c"), F.col("b").alias("d"))
-        both = both.join(last, both["id"].eqNullSafe(last["id2"]) & (both["key"] == last["key2"]) & (both["start"] + both["size"] - k == last["i2"]))
-        named.append(both.select("id", "key", "start", "size", "a", "b", "c", "d"))
+        both = _on(now, _at(level, "i", "first"), F.col("start") == F.col("i")).drop("i")
+        both = _on(both, _at(level, "i", "last"), F.col("start") + F.col("size") - k == F.col("i")).drop("i")
+        named.append(both)
         if 2 * k <= longest:
-            right = level.select(F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("i").alias("i2"), F.col("a").alias("c"), F.col("b").alias("d"))
-            pairs = level.join(right, level["id"].eqNullSafe(right["id2"]) & (level["key"] == right["key2"]) & (level["i"] + k == right["i2"]))
-            doubled = pairs.select("id", "key", "i", F.xxhash64("a", "c").alias("a"), F.xxhash64(F.lit(1), "b", "d").alias("b"))
-            level = materialize(_repeated(materialize(doubled, "doubled")), "level")
+            pairs = _on(level, _at(level, "i2", "b"), F.col("i") + k == F.col("i2")).select("id", "key", "i", F.col("r").alias("a"), "b")
+            level = materialize(_ranked(materialize(pairs, "doubled"), ["id", "key", "i"]), "level")
         k *= 2
     if not named:
         return windows.limit(0)
@@ -110,10 +123,11 @@ def repeated_windows(lines: DataFrame) -> DataFrame:
     for more in named[1:]:
         every = every.unionByName(more)
     every = materialize(every, "named")
-    name = ["size", "a", "b", "c", "d"]
+    # Of equal size, so of one level, whose ranks these are.
+    interval = ["size", "first", "last"]
     place = F.struct(F.col("id").alias("id"), F.col("key").alias("key"), F.col("start").alias("start"))
-    heads = materialize(every.groupBy(*name).agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n"), "heads")
-    return every.join(heads, name).filter(place > F.col("head")).select("id", "key", "start", "size")
+    heads = materialize(every.groupBy(*interval).agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n"), "heads")
+    return every.join(heads, interval).filter(place > F.col("head")).select("id", "key", "start", "size")
 
 
 def remove_repeated_runs(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
