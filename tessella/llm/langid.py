@@ -6,11 +6,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold_of
+from .common import fold_of, materialize
 
 ORDER = 4
 UNKNOWN = "und"
@@ -198,34 +198,29 @@ def compile_ppm(samples: dict[str, list[bytes]]) -> PpmModel:
     return PpmModel(languages, grams, escapes)
 
 
-def fit_languages(docs: DataFrame, modulus: int = 4, held_out: int = 2, docs_per_lang: int = 300, max_chars: int = 12_000, max_langs: int = 64, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> PpmModel:
-    """Context trees from at most ``docs_per_lang`` texts of at most ``max_chars`` for each language.
+def fit_languages(docs: DataFrame, modulus: int = 4, held_out: int = 2, docs_per_lang: int = 300, max_chars: int = 12_000, sample_chars: int = 48_000_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> PpmModel:
+    """Context trees from at most ``docs_per_lang`` distinct texts of at most ``max_chars`` for each language.
 
-    Only rows with text and language whose crc32(id) mod ``modulus`` is not ``held_out`` count. A
-    language with too few such texts is also learned from the middles of longer ones. More languages
-    than ``max_langs`` are a ValueError. The sample is the same on every run.
+    Only rows with text and language whose crc32(id) mod ``modulus`` is not ``held_out`` count. Every
+    language that has such a text is learned: those texts come first that are no longer than
+    ``max_chars``, by hash, then the middles of longer ones. With so many languages that the sample
+    could pass ``sample_chars``, each gets fewer texts, but one at least. Texts that many rows repeat
+    count once. The sample is the same on every run; the model's tables hold a number for each
+    language and context of the sample.
     """
-    known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")).filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull()).filter(fold_of("_id", modulus) != held_out)
-    known = known.filter(F.length("_text") > 0)
-    short = F.length("_text") <= max_chars
-    found = known.groupBy("_lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).limit(max_langs + 1).collect()
-    if len(found) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    few = [r["_lang"] for r in found if r["short"] < docs_per_lang]
-    fit = known.filter(short | F.col("_lang").isin(few))
-    counts = sorted(((r["n"] if r["short"] < docs_per_lang else r["short"], r["_lang"]) for r in found), key=lambda c: (-c[0], c[1]))
+    known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")).filter(F.col("_lang").isNotNull() & (F.length("_text") > 0)).filter(fold_of("_id", modulus) != held_out)
+    known = known.select("_lang", F.xxhash64("_text").alias("_h"), "_text")
+    kinds = known.groupBy("_lang", "_h").agg(F.max(F.length("_text") > max_chars).alias("long"))
+    # Spark keeps no more than docs_per_lang rows of a language in any task before it deals them out.
+    turn = F.row_number().over(Window.partitionBy("_lang").orderBy("long", "_h"))
+    chosen = materialize(kinds.withColumn("turn", turn).filter(F.col("turn") <= docs_per_lang).select("_lang", "_h", "turn"), "chosen")
+    languages = chosen.select("_lang").distinct().count()
+    each = max(1, min(docs_per_lang, sample_chars // (max_chars * max(1, languages))))
+    middle = F.col("_text").substr(F.floor(F.greatest(F.length("_text") - max_chars, F.lit(0)) / 2).cast("int") + 1, F.lit(max_chars))
+    drawn = known.join(chosen.filter(F.col("turn") <= each), ["_lang", "_h"]).select("_lang", "turn", middle.alias("_text")).dropDuplicates(["_lang", "turn"])
     samples: dict[str, list[bytes]] = {}
-    if counts:
-        # A share of each language by a hash of its rows, twice as large as needed, then the smallest hashes.
-        share = F.create_map(*(F.lit(x) for n, lang in counts for x in (lang, min(1.0, 2 * docs_per_lang / n))))[F.col("_lang")]
-        u = F.xxhash64(F.lit("langid"), "_id", "_text")
-        drawn = fit.withColumn("_u", u).filter((F.col("_u") / F.lit(2.0**64) + 0.5) < share)
-        some = drawn.orderBy("_u").limit(3 * docs_per_lang * len(counts))
-        middle = F.col("_text").substr(F.floor(F.greatest(F.length("_text") - max_chars, F.lit(0)) / 2).cast("int") + 1, F.lit(max_chars))
-        some = some.select("_lang", middle.alias("_text")).collect()
-        for lang, text in some:
-            if len(own := samples.setdefault(lang, [])) < docs_per_lang:
-                own.append(text.encode("utf-8"))
+    for r in sorted(drawn.collect()):
+        samples.setdefault(r["_lang"], []).append(r["_text"].encode("utf-8"))
     return compile_ppm(samples)
 
 
