@@ -55,7 +55,11 @@ def _threats() -> Transducer:
 
 
 def _targets() -> Transducer:
-    return Transducer({(0, TARGET): (1, ""), (1, INSULT): (1, "aimed"), (1, THREAT): (1, "aimed")})
+    """A target on either side of the trigger; state 2: a trigger waits for one."""
+    arcs = {(s, TARGET): (1, "aimed" if s == 2 else "") for s in range(3)}
+    for tag in (INSULT, THREAT):
+        arcs |= {(0, tag): (2, ""), (1, tag): (1, "aimed")}
+    return Transducer(arcs)
 
 
 def _negations() -> Transducer:
@@ -143,11 +147,13 @@ def clauses_with_triggers(text: str, lexicon: Lexicon):
         yield low[max(first, 0) : done]
 
 
-#: What a document's matched clauses come to: each clause counts once for each name among its outputs.
+#: What a document's matched clauses come to: outputs of the composed transducer.
 FEATURES = ("insult", "threat", "meant", "aimed", "negated", "reported")
-#: What the weights are drawn to, the bias last: an insult or threat speaks for label 1, an aimed or
-#: meant one more so, a negated or reported one less.
+#: What the weights are drawn to, the bias last, and the bounds that give each output its meaning: an
+#: insult or threat speaks for label 1, an aimed or meant one more so, a negated or reported one less.
 PRIOR = (3.0, 0.5, 1.0, 0.5, -0.5, -0.5, -3.0)
+LOW = (0.5, 0.25, 0.25, 0.1, -np.inf, -np.inf, -np.inf)
+HIGH = (np.inf, np.inf, np.inf, np.inf, -0.25, -0.25, np.inf)
 
 
 @dataclass
@@ -159,12 +165,13 @@ class ToxicityModel:
     classes: dict[str, int] = field(default_factory=_classes)
 
     def features(self, text: str | None) -> np.ndarray:
-        """Logarithms of one plus the number of matched clauses with each output."""
+        """Logarithms of one plus the number of times each output was made, over all matched clauses."""
         counts = np.zeros(len(FEATURES))
         for clause in clauses_with_triggers(text or "", self.lexicon):
             tags = [INSULT if self.lexicon.is_insult(w) else self.classes.get(w, WORD) for w in TOKEN.findall(clause)]
-            for output in {o for p in self.grammar.patterns(tags) for o in p.split("+")}:
-                counts[FEATURES.index(output)] += 1
+            for pattern in self.grammar.patterns(tags):
+                for output in pattern.split("+"):
+                    counts[FEATURES.index(output)] += 1
         return np.log1p(counts)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -243,37 +250,45 @@ def _refined(stem: str, texts: set[int], own: dict[int, set[str]], clean: Counte
     return [stem]
 
 
-def train(sample: list[tuple[str, int]], counts: dict[int, int]) -> ToxicityModel:
-    """Learn the lexicon, then weights of the clause patterns by ridge logistic regression.
+def train(sample: list[tuple[str, int]], counts: dict[int, int], folds: int = 4) -> ToxicityModel:
+    """Learn the lexicon, then weights of the clause patterns by ridge logistic regression within LOW and HIGH.
 
-    Texts weigh so that the classes keep their shares of all labelled rows. Half of the sample, in
-    turns, yields the lexicon's first form, to weigh patterns on texts that did not choose the words.
+    Texts weigh so that the classes keep their shares of all labelled rows. To weigh patterns on texts
+    that did not choose the words, each of ``folds`` parts is read by a lexicon of the others.
     """
     labels = np.array([y for _, y in sample], float)
     if len(set(labels.tolist())) < 2:
         return ToxicityModel(Lexicon(frozenset(), ()), np.zeros(len(FEATURES)), 3.0 if len(labels) and labels[0] else -3.0)
     model = ToxicityModel(learn_lexicon(sample), np.zeros(len(FEATURES)), 0.0)
     x = np.zeros((len(sample), len(FEATURES)))
-    for turn in (0, 1):
-        part = ToxicityModel(learn_lexicon([s for i, s in enumerate(sample) if i % 2 == turn]), model.weights, 0.0)
-        for i, (text, _) in enumerate(sample):
-            if i % 2 != turn:
-                x[i] = part.features(text)
+    for turn in range(folds):
+        part = ToxicityModel(learn_lexicon([s for i, s in enumerate(sample) if i % folds != turn]), model.weights, 0.0)
+        for i in range(turn, len(sample), folds):
+            x[i] = part.features(sample[i][0])
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean()))
-    a = np.column_stack([x, np.ones(len(x))])
-    prior = np.array(PRIOR)
-    w, ridge = prior.copy(), np.full(len(prior), 0.1)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (weight * (p - labels)) + ridge * (w - prior)
-        hess = (a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(ridge)
-        w -= np.linalg.solve(hess, grad)
-    w[:4] = np.maximum(w[:4], 0)
+    w = _bounded_logistic(np.column_stack([x, np.ones(len(x))]), labels, weight, np.array(PRIOR), 0.1, np.array(LOW), np.array(HIGH))
     model.weights, model.bias = w[:-1], float(w[-1])
     return model
 
 
+def _bounded_logistic(a: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray, ridge: float, low: np.ndarray, high: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Weights within bounds of least weighted logistic loss plus ``ridge`` times half their squared distance to ``prior``.
+
+    Newton steps over the weights that no bound holds; what passes a bound is set to it.
+    """
+    w = np.clip(prior, low, high)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        grad = a.T @ (weight * (p - y)) + ridge * (w - prior)
+        free = ~(((w <= low) & (grad > 0)) | ((w >= high) & (grad < 0)))
+        hess = (a * (weight * p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
+        move = np.zeros(len(w))
+        move[free] = np.linalg.solve(hess[np.ix_(free, free)], grad[free])
+        w = np.clip(w - move, low, high)
+    return w
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, rows_per_class: int = 1500, max_chars: int = 12_000) -> ToxicityModel:
     """Learn from a sample bounded by ``rows_per_class`` and ``max_chars``, without the held-out fold."""
     return train(*labelled_sample(docs, labels, "toxic", modulus, held_out, rows_per_class, max_chars))
