@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -26,6 +27,23 @@ PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
+def cuts_words(tokenizer) -> bool:
+    """Whether a tokenizer is of the kind whose words may be encoded one by one, in pieces of PIECE.
+
+    It lower-cases, drops white space, splits by PIECE, spells bytes, merges within a piece and has
+    no special token that could begin without "<|".
+    """
+    own = json.loads(tokenizer.to_str())
+    parts = lambda kind, inner: [p | {"behavior": None} for p in (own[kind] or {}).get(inner, [])]
+    norm, pre = parts("normalizer", "normalizers"), parts("pre_tokenizer", "pretokenizers")
+    return (
+        [p["type"] for p in norm] == ["NFC", "Replace", "Lowercase"] and norm[1]["pattern"] == {"Regex": "\\s+"} and norm[1]["content"] == " "
+        and [p["type"] for p in pre] == ["Split", "ByteLevel"] and pre[0]["pattern"] == {"Regex": PIECE} and pre[0]["invert"] and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"]
+        and own["post_processor"] is None and own["model"]["type"] == "BPE" and not own["model"]["dropout"]
+        and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in own["added_tokens"])
+    )
+
+
 class PieceIds(dict):
     """Token ids, as little-endian uint32 bytes, of single pieces, straight from the merge model."""
 
@@ -56,6 +74,7 @@ class WordIds(dict):
         import regex
 
         self.tokenizer = tokenizer
+        self.by_word = cuts_words(tokenizer)
         self.old: dict[str, bytes] = {}
         self.pieces = PieceIds(tokenizer.model)
         self.cut = regex.compile(PIECE).findall
@@ -92,14 +111,19 @@ def _word_ids(path: str) -> WordIds:
 def token_bytes(text: str, words: WordIds) -> bytes:
     """Ids of a whole text, as bytes. The vocabulary drops white space and merges within words only, so
     a text's ids are those of its white-space-separated words in order. Python also splits at four
-    control characters that are symbols to the tokenizer; a text with one is encoded as it is."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+    control characters that are symbols to the tokenizer; a text with one is encoded as it is, as is
+    every text where the tokenizer is of another kind."""
+    if not words.by_word or any(c in text for c in "\x1c\x1d\x1e\x1f"):
         return words.encoded(text)
     return b"".join(map(words.__getitem__, text.split()))
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(<id>, text_key, piece, start, length, ids_crc32)``: each document's ids and ``end_id``, cut at ``capacity``."""
+    """``(<id>, text_key, piece, start, length, ids_crc32)``: each document's ids and ``end_id``, cut at ``capacity``.
+
+    ``tokenizer_path``: any file of the tokenizers library; for those of the kind of ``cuts_words``
+    the words' ids are remembered. A null text is an empty one: one piece that holds ``end_id``.
+    """
     end = int(end_id).to_bytes(4, "little")
     names = [id_col, "text_key", *PIECES.names]
 
@@ -184,6 +208,11 @@ def _pack_groups(pieces: DataFrame, columns: list[str], capacity: int) -> DataFr
     return pieces.groupBy("part").applyInPandas(run, T.StructType([*pieces.schema, *extra]))
 
 
+def _dealt(rows: DataFrame, turn: int, parts: int) -> DataFrame:
+    """``rows`` with a ``part`` by hash, of the row's number too: equal rows, however many, spread over all parts."""
+    return rows.withColumn("part", F.pmod(F.xxhash64(F.lit(turn), F.monotonically_increasing_id(), *rows.columns), F.lit(parts)))
+
+
 def pack(pieces: DataFrame, capacity: int = 2048, part_rows: int = 50_000, rounds: int = 4) -> DataFrame:
     """``pieces`` (with an integer column ``length``, at most ``capacity``) plus ``sequence_id`` and ``offset``.
 
@@ -205,7 +234,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, part_rows: int = 50_000, round
         if not count:
             break
         parts = max(1, -(-count // part_rows))
-        dealt = rest.withColumn("part", F.pmod(F.xxhash64(F.lit(k), *columns), F.lit(parts)))
+        dealt = _dealt(rest, k, parts)
         packed = materialize(_pack_groups(dealt.repartition(parts, "part") if parts > 1 else dealt, columns, capacity), "packed")
         # Numbers: part * (most pieces of a part + 1) + bin, above all numbers given before.
         width = packed.agg(F.max("bins")).first()[0] + 1
