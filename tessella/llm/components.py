@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
     links = materialize(links, "links")
     seen = None
     for _ in range(max_rounds):
-        links = materialize(_small_star(_large_star(links)), "links")
+        links = materialize(_small_star(materialize(_large_star(links), "larger")), "links")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
@@ -32,11 +32,12 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # Written here and below, so that the join deals both sides anew and Spark can split the links of a hub.
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
