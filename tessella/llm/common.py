@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import write_through
+from ..storage import append_through, write_through
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return write_through(df, tag)
 
 
+def append(df: DataFrame, tag: str, path: str | None) -> str:
+    """Add the rows of ``df`` to the table at ``path`` (None: a new one in the shared folder); its path."""
+    return append_through(df, tag, path)
+
+
 def text_key(column: str | Column) -> Column:
     """A 64-bit key of a whole text (null: that of the empty text)."""
     return F.xxhash64(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")))

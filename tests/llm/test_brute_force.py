@@ -271,6 +271,31 @@ def test_queries_equal_their_sql(spark, name):
     assert rows(QUERIES[name](spark, DATA).toPandas()) == rows(db.execute(ORACLE_SQL[name]).df())
 
 
-def test_exact_search_refuses_overflow():
-    with pytest.raises(ValueError):
-        topk.exact_products(np.full((1, 2), 2**60), np.full((1, 2), 2**60))
+def test_products_of_any_size():
+    """Exact in doubles, longs or Python's integers; what does not fit a long is held at the nearest."""
+    rng = np.random.default_rng(3)
+    left = np.concatenate([np.floor(rng.normal(size=(20, 6)) * 10.0**e) for e in (2, 7, 9, 12, 20, 200)])
+    right = np.concatenate([np.floor(rng.normal(size=(15, 6)) * 10.0**e) for e in (1, 8, 10, 18, 250)])
+    right[3] = 0
+    want = [[min(max(sum(int(x) * int(y) for x, y in zip(a, b, strict=True)), -topk.LONGEST), topk.LONGEST) for b in right] for a in left]
+    assert topk.exact_products(left, right).tolist() == want
+
+
+@pytest.mark.parametrize("query_bytes", [1 << 26, 512])
+def test_exact_search_with_outliers(spark, monkeypatch, query_bytes):
+    """Small and huge vectors, ties, several turns of queries, against Python's integers."""
+    monkeypatch.setattr(topk, "QUERY_BYTES", query_bytes)
+    rng = np.random.default_rng(0)
+    v = rng.integers(-3, 4, (300, 4)) / 8
+    v[7], v[8], v[9], v[20] = [1e18, 1, 0, 0], [1e250, 0, 0, 1], [-1e12, 1, 1, 1], [1e15, 0, 0, 0]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(500, [1.0, 2.0]), (501, [1.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, df.filter("vec_id % 20 = 0"), k=7).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    whole = [[math.floor(int(y) * 1024 if abs(y) > 2**40 else y * 1024) for y in x] for x in v.tolist()]
+    for q in range(0, 300, 20):
+        score = lambda j: min(max(sum(a * b for a, b in zip(whole[q], whole[j], strict=True)), -topk.LONGEST), topk.LONGEST)  # noqa: B023, E731
+        want = sorted((-score(j), j) for j in range(300) if j != q)[:7]
+        assert sorted(got[q]) == [(k + 1, j, -s) for k, (s, j) in enumerate(want)], q
+    assert set(got) == set(range(0, 300, 20))
