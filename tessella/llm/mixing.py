@@ -11,6 +11,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 #: Cells into which each level of the rank histogram divides a source's open interval of ranks.
 CELLS = 4096
 LEVELS = 2
+#: Rows of one kind that a task writes out at once.
+ROWS_AT_ONCE = 10_000
 
 
 def water_filled_targets(sources: DataFrame, weights: list[float], share: float = 1.5, limit: float = 2.0) -> DataFrame:
@@ -48,10 +50,12 @@ def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, l
     Size is the number of words. A document expects target/source_size copies of itself: the whole
     ones it gets for certain, the fraction is its inclusion probability p in a Pareto sample. Ranks
     are u/(1-u) over p/(1-p), u fixed by id and text; the lowest ranks are taken until the source's
-    remaining words are reached, the last one if that brings the sum nearer. The place of the cut is
-    found by histograms of words over rank cells, refined within the cell of the cut, so no task
-    sees a whole source; ties of u (repeated rows) go by id, then text key, then stand or fall as
-    sorted in the cell.
+    remaining words are reached, the last one if that brings the sum nearer. Probabilities differ
+    between sources only, and each source is cut by itself, so that its words come near its target:
+    within a source the order of ranks is that of u. The place of the cut is found by histograms of
+    words over rank cells, refined within the cell of the cut, and only that cell's kinds of rows
+    are sorted. Rows that repeat id and text have one u; they are one kind, counted before sorting,
+    of which as many get a copy as come before the cut. Ties of u go by id, then text key.
 
     A null text has size zero, as has an empty one; a null source is a source of its own; null ids
     count as an empty id. Words of zero total give targets of zero and no copies.
@@ -82,13 +86,23 @@ def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, l
     placed = sized.join(F.broadcast(limits) if _few(limits) else limits, sized["source"].eqNullSafe(limits["source"])).drop(limits["source"])
     own = F.floor(F.col("u") * float(width))
     rank = F.try_divide(F.col("u") / (1 - F.col("u")), F.col("p") / (1 - F.col("p")))
-    before = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("rank", "_id", "text_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    edge = placed.filter(own == F.col("cell")).withColumn("rank", rank).withColumn("before", before)
-    edge = edge.withColumn("extra", F.when((F.col("p") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("left")), 1).otherwise(0)).drop("rank", "before")
+    shown = ["_id", "text_key", "source", "size", "source_size", "target", "whole"]
+    kinds = placed.filter(own == F.col("cell")).groupBy(*shown, "u", "p", "cell", "left").agg(F.count("*").alias("n")).withColumn("rank", rank)
+    before = F.sum(F.col("size") * F.col("n")).over(Window.partitionBy("source", "cell").orderBy("rank", "_id", "text_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size") * F.col("n")
+    # Row j of a kind gets a copy if before + j * size + size / 2 <= left; the quotient may be off by one.
+    fits = lambda j: F.col("before") + j * F.col("size") + F.col("size") / 2 <= F.col("left")
+    guess = F.coalesce(F.floor(F.try_divide(F.col("left") - F.col("before"), F.col("size")) + 0.5), F.when(F.col("before") <= F.col("left"), F.col("n")).otherwise(F.lit(0)))
+    kinds = kinds.withColumn("before", before).withColumn("t", F.least(F.greatest(guess, F.lit(0)), F.col("n")))
+    kinds = kinds.withColumn("t", F.when((F.col("t") > 0) & ~fits(F.col("t") - 1), F.col("t") - 1).when((F.col("t") < F.col("n")) & fits(F.col("t")), F.col("t") + 1).otherwise(F.col("t")))
+    kinds = kinds.withColumn("t", F.when(F.col("p") > 0, F.col("t")).otherwise(F.lit(0)))
+    # A kind of very many rows is written out in many tasks.
+    spans = kinds.select(*shown, F.explode(F.array(F.struct(F.lit(1).alias("extra"), F.col("t").alias("m")), F.struct(F.lit(0).alias("extra"), (F.col("n") - F.col("t")).alias("m")))).alias("s")).select(*shown, "s.extra", "s.m").filter("m > 0")
+    spans = spans.withColumn("span", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / ROWS_AT_ONCE)))).repartition("_id", "text_key", "extra", "span")
+    edge = spans.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ROWS_AT_ONCE), F.col("m") - F.col("span") * ROWS_AT_ONCE)))).select(*shown, "extra")
     # No cut: the source's words end before its room does (both are whole, or zero).
     rest = placed.filter(F.col("cell").isNull() | (own != F.col("cell")))
     rest = rest.withColumn("extra", F.when((F.col("p") > 0) & (F.col("cell").isNull() | (own < F.col("cell"))), 1).otherwise(0))
-    both = rest.unionByName(edge)
+    both = rest.select(*shown, "extra").unionByName(edge)
     return both.select(F.col("_id").alias(id_col), "text_key", "source", "size", "source_size", "target", (F.col("whole") + F.col("extra")).alias("copies"))
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tessella.llm import packing
+from tessella.llm import mixing, packing
 from tessella.llm.components import connected_components
 from tessella.llm.queries import tokenizer_path
 
@@ -33,3 +33,15 @@ def test_other_tokenizers_encode_whole_texts():
     text = "Two  words, and more\n of them"
     assert not words.by_word and packing._word_ids(tokenizer_path()).by_word
     assert np.frombuffer(packing.token_bytes(text, words), "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_mix_of_equal_rows(spark):
+    """A third of all rows are one text under one id, and the cut of its source falls among them."""
+    some = spark.range(200_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"), F.lit("b").alias("source"))
+    same = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("some words here").alias("text"), F.lit("a").alias("source"))
+    empty = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("a").alias("source"))
+    mixed = mixing.mix(some.unionByName(same).unionByName(empty), (5, 2, 1), share=0.5)
+    out = {r.source: r for r in mixed.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most"), F.count("*").alias("n")).collect()}
+    assert out["a"].n == 101_000 and out["b"].n == 200_000
+    assert abs(out["a"].taken - out["a"].target) <= 1.5 and abs(out["b"].taken - out["b"].target) <= 1 and max(r.most for r in out.values()) <= 2
+    assert 0 < out["a"].target < 300_000
