@@ -25,12 +25,20 @@ TEMPLATES = {
     "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "bsd-3-clause-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "lgpl-3.0-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    "epl-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 
 WORD = "[\\p{L}\\p{N}]+"
 #: Bands of one MinHash row each: a window of similarity s to a template is missed with probability
 #: (1-s)^BANDS. A window that holds 4 in 5 of a template's shingles has s of 0.5 at least: 2 in 10^5.
 BANDS = 16
+#: Shingles of a text that a row holds windows of; such rows for each task.
+BLOCK, BLOCKS_A_TASK = 4096, 256
 
 
 def template_words(text: str) -> list[str]:
@@ -108,14 +116,31 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     found = materialize(found, "words")
     found = found.select("_id", "_key", _shingles(F.col("words"), shingle).alias("sh"), F.filter(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0))), lambda i: F.get(F.col("words"), i).isin(anchors)).alias("at"))
     found = materialize(found, "shingles")
+    # Blocks of a text's shingles, each with what windows that start in it may reach, so that a row and
+    # a task's work are bounded however long a text is. Blocks far from anchors hold no window.
+    steps = {n: max(1, n // 8) for n in sizes}
+    back, ahead = max(steps.values(), default=1), max((n + steps[n] for n in sizes), default=1)
+
+    def block_of(b: Column) -> Column:
+        low, high = b * BLOCK, (b + 1) * BLOCK
+        base = F.greatest(low - back, F.lit(0))
+        near = F.filter("at", lambda p: (p >= low) & (p < high + ahead + shingle))
+        return F.struct(low.alias("low"), high.alias("high"), base.alias("base"), near.alias("at"), F.slice("sh", base + 1, high + ahead - base).alias("sh"))
+
     last = F.greatest(F.size("sh") - 1, F.lit(0))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(last / BLOCK).cast("int")), block_of)
+    found = found.select("_id", "_key", last.alias("last"), F.explode(F.filter(blocks, lambda b: F.size(b["at"]) > 0)).alias("b")).select("_id", "_key", "last", "b.*")
+    found = materialize(found, "blocks")
+    # What follows costs far more than reading: a task for each few blocks.
+    found = found.repartition(max(1, -(-found.count() // BLOCKS_A_TASK)))
 
     def windows_of(n: int) -> Column:
-        """Windows [s, s+n) of shingles that hold a shingle with an anchor, s a multiple of the step."""
-        step = max(1, n // 8)
-        about = F.transform("at", lambda p: F.sequence(F.floor(F.least(F.greatest(p - (n + shingle - 2), F.lit(0)), last) / step).cast("int"), F.floor(F.least(p, last) / step).cast("int")))
-        starts = F.array_distinct(F.flatten(about))
-        return F.transform(starts, lambda k: F.struct(F.lit(n).alias("n"), (k * step).alias("start"), F.slice("sh", k * step + 1, F.lit(n)).alias("window"), F.slice("sh", F.greatest(k * step - step, F.lit(0)) + 1, F.lit(n + 2 * step)).alias("wide")))
+        """Windows [s, s+n) of shingles that hold a shingle with an anchor, s a multiple of the step, in the block."""
+        step = steps[n]
+        whole = F.col("last")
+        about = F.transform("at", lambda p: F.sequence(F.floor(F.least(F.greatest(p - (n + shingle - 2), F.lit(0)), whole) / step).cast("int"), F.floor(F.least(p, whole) / step).cast("int")))
+        starts = F.filter(F.array_distinct(F.flatten(about)), lambda k: (k * step >= F.col("low")) & (k * step < F.col("high")))
+        return F.transform(starts, lambda k: F.struct(F.lit(n).alias("n"), (k * step).alias("start"), F.slice("sh", k * step - F.col("base") + 1, F.lit(n)).alias("window"), F.slice("sh", F.greatest(k * step - step, F.lit(0)) - F.col("base") + 1, F.lit(n + 2 * step)).alias("wide")))
 
     windows = found.select("_id", "_key", F.explode(F.concat(*map(windows_of, sizes))).alias("w"))
     windows = windows.select("_id", "_key", "w.n", "w.start", "w.wide", F.explode(_bands(F.col("w.window"))).alias("b"))
