@@ -35,14 +35,14 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").filter("p_partkey < 50").selectExpr(
+    return table(spark, sf_dir, "part").selectExpr(
         "concat('image', cast(p_partkey AS string)) AS image_id", "cast(100+(p_partkey*997)%3900 AS int) AS w", "cast(100+(p_partkey*613)%3100 AS int) AS h",
         "10D AS a", "0D AS b", "cast(500000+p_partkey*50000 AS double) AS c", "0D AS d", "-10D AS e", "cast(9900000-p_partkey*50000 AS double) AS f")
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = "(o_orderkey*7919)%3091", "(o_orderkey*104729)%2000"
-    return table(spark, sf_dir, "orders").filter("o_orderkey < 4000").selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS feature_id", "concat('image', cast(o_orderkey%4 AS string)) AS image_id", f"cast({x} AS double) AS x1", f"cast({y} AS double) AS y1",
         f"cast({x}+8+(o_orderkey*31)%90 AS double) AS x2", f"cast({y}+8+(o_orderkey*17)%70 AS double) AS y2")
 
@@ -70,7 +70,7 @@ RASTERS = """rasters AS (
   SELECT concat('image', cast(p_partkey AS varchar)) image_id, cast(100+(p_partkey*997)%3900 AS int) w, cast(100+(p_partkey*613)%3100 AS int) h,
     cast(10 AS double) a, cast(0 AS double) b, cast(500000+p_partkey*50000 AS double) c, cast(0 AS double) d, cast(-10 AS double) e,
     cast(9900000-p_partkey*50000 AS double) f
-  FROM part WHERE p_partkey<50)"""
+  FROM part)"""
 TILES = RASTERS + """, tiles AS (
   SELECT image_id, tile_r, tile_c, tile_c*64 AS x0, tile_r*64 AS y0, printf('%s_r%04d_c%04d', image_id, tile_r, tile_c) AS tile_id
   FROM (SELECT image_id, nc, unnest(CASE WHEN nr>0 THEN range(nr) ELSE [] END)::int AS tile_r
@@ -80,5 +80,5 @@ FEATURES = """features AS (
   SELECT o_orderkey feature_id, concat('image', cast(o_orderkey%4 AS varchar)) image_id, cast((o_orderkey*7919)%3091 AS double) x1,
     cast((o_orderkey*104729)%2000 AS double) y1, cast((o_orderkey*7919)%3091+8+(o_orderkey*31)%90 AS double) x2,
     cast((o_orderkey*104729)%2000+8+(o_orderkey*17)%70 AS double) y2
-  FROM orders WHERE o_orderkey<4000)"""
+  FROM orders)"""
 PIXELS = "pixels AS (SELECT vec_id//4 AS tile_id, cast(vec_id%4 AS int) AS band, vec_id, embedding AS pixels FROM embeddings)"

@@ -5,60 +5,150 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import boxes as bx
 from ..storage import write_through
+from .suppress import REGION, REGION_PAIRS, grid_listed, region
 
 #: Recall levels of the 11-point average: equal steps from 0 to 1, as a float sequence computes them.
 LEVELS = tuple(float(x) for x in np.linspace(0, 1, 11))
 
 
 def match_candidates(predictions: DataFrame, truth: DataFrame, threshold: float, keys: Sequence[str] = ("image_id",), id_col: str = "det_id", truth_id: str = "gt_id") -> DataFrame:
-    """``(<keys>, det, gt, iou)``: pairs of one image whose overlap reaches ``threshold`` (above zero).
+    """``(<keys>, det, gt, iou, x, y)``: pairs of one image whose overlap reaches ``threshold`` (above zero).
 
-    Pairs come from an equi-join on grid cells; each is made in the first cell both share.
+    ``x, y``: the prediction's middle, in sides of a usual box. Pairs come from an equi-join on grid
+    cells of several levels, as ``grid_listed`` deals them; each is made in the first cell both share.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be above zero")
-    size = truth.agg(F.percentile_approx(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))), 0.99)).first()[0]
-    side = max(1.0, float(size or 1.0))
+    names = ("x1", "y1", "x2", "y2")
+    outer = ("_l", "_t", "_r", "_b")
 
-    def listed(df: DataFrame, ident: str, p: str) -> DataFrame:
+    def flat(df: DataFrame, ident: str) -> DataFrame:
         b = bx.ordered(bx.Box.of())
-        cell = lambda c: F.floor(c / side)
-        flat = df.select(*(F.col(k).alias(f"{p}{k}") for k in keys), F.col(ident).alias(f"{p}id"), *bx.Box.of().columns(tuple(f"{p}{n}" for n in ("x1", "y1", "x2", "y2"))), cell(b.x1).alias(f"{p}l"), cell(b.y1).alias(f"{p}t"), cell(b.x2).alias(f"{p}r"), cell(b.y2).alias(f"{p}b"))
-        return flat.withColumn(f"{p}cx", F.explode(F.sequence(f"{p}l", f"{p}r"))).withColumn(f"{p}cy", F.explode(F.sequence(f"{p}t", f"{p}b")))
-
-    d, g = listed(predictions, id_col, "d_"), listed(truth, truth_id, "g_")
-    first = (F.col("d_cx") == F.greatest("d_l", "g_l")) & (F.col("d_cy") == F.greatest("d_t", "g_t"))
-    on = [*(F.col(f"d_{k}") == F.col(f"g_{k}") for k in keys), F.col("d_cx") == F.col("g_cx"), F.col("d_cy") == F.col("g_cy"), first]
+        return df.select(*keys, F.col(ident).alias("id"), *names, *b.columns(outer))
+
+    g, side = grid_listed(flat(truth, truth_id), outer)
+    d, _ = grid_listed(flat(predictions, id_col), outer, side)
+    # A pair meets at the higher of its two levels, where one side at least is at its own.
+    tops = sorted({r[0] for r in g.select("level").distinct().unionByName(d.select("level").distinct()).collect()})
+    g, d = (_at_levels(x, flat(y, i), outer, side, tops) for x, y, i in ((g, truth, truth_id), (d, predictions, id_col)))
+    d, g = (x.select(*(F.col(c).alias(f"{p}{c}") for c in x.columns)) for p, x in (("d_", d), ("g_", g)))
+    first = (F.col("d_cx") == F.greatest("d_cl", "g_cl")) & (F.col("d_cy") == F.greatest("d_ct", "g_ct"))
+    on = [*(F.col(f"d_{k}") == F.col(f"g_{k}") for k in keys), F.col("d_level") == F.col("g_level"), F.col("d_cx") == F.col("g_cx"), F.col("d_cy") == F.col("g_cy"), F.col("d_own") | F.col("g_own"), first]
     pairs = d.join(g, on).withColumn("iou", bx.iou_eval(bx.Box.of("d_"), bx.Box.of("g_"))).filter(F.col("iou") >= F.lit(float(threshold)))
-    return pairs.select(*(F.col(f"d_{k}").alias(k) for k in keys), F.col("d_id").alias("det"), F.col("g_id").alias("gt"), "iou")
+    middle = [((F.col(f"d_{n}1") + F.col(f"d_{n}2")) / 2 / F.lit(side)).alias(n) for n in "xy"]
+    return pairs.select(*(F.col(f"d_{k}").alias(k) for k in keys), F.col("d_id").alias("det"), F.col("g_id").alias("gt"), "iou", *middle)
+
+
+def _at_levels(listed: DataFrame, flat: DataFrame, outer: Sequence[str], side: float, levels: list[int]) -> DataFrame:
+    """``listed`` again, where the other table has levels that this one has not."""
+    if len(levels) <= 1:
+        return listed
+    return grid_listed(flat, outer, side, levels)[0]
+
+
+def _matched_inside(pdf):
+    """Predictions of one region that can be settled there, by id: ``(det, gt)``, gt None for no match.
+
+    ``rival``: the earliest prediction of another region that wants the same ground truth, which may
+    take it before a later one of this region comes.
+    """
+    det, gt = pdf["det"].to_numpy(), pdf["gt"].to_numpy()
+    order = np.lexsort((gt, -pdf["iou"].to_numpy(), det))
+    det, gt, rival = det[order].tolist(), gt[order].tolist(), pdf["rival"].to_numpy()[order].tolist()
+    used, open_ = set(), set()
+    dets, gts = [], []
+    at = 0
+    while at < len(det):
+        end = at
+        while end < len(det) and det[end] == det[at]:
+            end += 1
+        for k in range(at, end):
+            if gt[k] in used:
+                continue
+            if gt[k] in open_ or rival[k] < det[at]:
+                # Undecided, and so is all that this prediction might take.
+                open_.update(gt[k:end])
+                break
+            used.add(gt[k])
+            dets.append(det[at]), gts.append(gt[k])
+            break
+        else:
+            dets.append(det[at]), gts.append(None)
+        at = end
+    return dets, gts
+
+
+def match_pairs(pairs: DataFrame, keys: Sequence[str] = ("image_id",)) -> DataFrame:
+    """``(<keys>, det, gt)``: the matches of candidate pairs when predictions are visited by id.
+
+    A round deals pairs to regions of the plane by the prediction. A region, in one task, settles in
+    order what no earlier open prediction elsewhere could change; regions move from round to round.
+    A region with more than REGION_PAIRS pairs settles only predictions that come first for each of
+    their candidates. The earliest open prediction is always settled, so rounds end.
+    """
+    pairs = write_through(pairs, "pairs")
+    kinds = {f.name: f.dataType for f in pairs.schema}
+    settled = T.StructType([*(pairs.schema[k] for k in keys), T.StructField("det", kinds["det"]), T.StructField("gt", kinds["gt"])])
+
+    def inside(pdf):
+        dets, gts = _matched_inside(pdf)
+        out = {k: pdf[k].iloc[0] for k in keys} | {"det": dets, "gt": pd.array(gts, dtype="Int64") if integral else gts}
+        return pd.DataFrame(out, columns=settled.names, index=range(len(dets)))
+
+    integral = isinstance(kinds["gt"], (T.LongType, T.IntegerType))
+    found = []
+    step = 0
+    while not pairs.isEmpty():
+        dealt = pairs.withColumn("_at", region(F.col("x"), F.col("y"), step, REGION))
+        # The earliest prediction of each region for each ground truth; then the earliest elsewhere.
+        here = dealt.groupBy(*keys, "gt", "_at").agg(F.min("det").alias("m"))
+        by_gt = Window.partitionBy(*keys, "gt").orderBy("m", "_at")
+        least = F.first("m").over(by_gt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        second = F.nth_value("m", 2).over(by_gt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        here = here.withColumn("rival", F.when(F.row_number().over(by_gt) == 1, second).otherwise(least)).select(*keys, "gt", "_at", F.coalesce(F.col("rival").cast("long"), F.lit(2**63 - 1)).alias("rival"))
+        dealt = dealt.join(here, [*keys, "gt", "_at"])
+        sizes = dealt.groupBy(*keys, "_at").agg(F.count("*").alias("_n")).filter(F.col("_n") > REGION_PAIRS)
+        crowd = None
+        if not sizes.isEmpty():
+            # Fewer regions than pairs / REGION_PAIRS.
+            crowd = dealt.join(sizes.select(*keys, "_at"), [*keys, "_at"], "left_semi")
+            dealt = dealt.join(sizes.select(*keys, "_at"), [*keys, "_at"], "left_anti")
+        made = dealt.groupBy(*keys, "_at").applyInPandas(inside, settled)
+        if crowd is not None:
+            by_gt = pairs.groupBy(*keys, "gt").agg(F.min("det").alias("next"))
+            heads = crowd.join(by_gt, [*keys, "gt"]).groupBy(*keys, "det").agg(F.min(F.col("next") == F.col("det")).alias("free"), F.min(F.struct((-F.col("iou")).alias("minus"), F.col("gt").alias("gt"))).alias("best"))
+            made = made.unionByName(heads.filter("free").select(*keys, "det", F.col("best.gt").alias("gt")))
+        now = write_through(made, "settled")
+        found.append(now.filter("gt IS NOT NULL"))
+        rest = pairs.join(now.select(*keys, "det"), [*keys, "det"], "left_anti")
+        pairs = write_through(rest.join(now.filter("gt IS NOT NULL").select(*keys, "gt"), [*keys, "gt"], "left_anti"), "pairs")
+        step += 1
+    if not found:
+        return pairs.select(*keys, "det", "gt")
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every
 
 
 def greedy_match(predictions: DataFrame, truth: DataFrame, threshold: float = 0.5, keys: Sequence[str] = ("image_id",), id_col: str = "det_id", truth_id: str = "gt_id") -> DataFrame:
     """``predictions`` plus ``matched_gt`` (null: none) and ``tp``.
 
     Predictions of an image are visited by id; each takes the free ground truth it overlaps most
-    (ties: smallest id) if that overlap is ``threshold`` or more. Visits only depend on each other
-    along candidate pairs, so each round settles, in parallel, every prediction whose earlier rivals
-    for all of its candidates are settled. Rounds are as many as the longest such chain.
+    (ties: smallest id) if that overlap is ``threshold`` or more. Ids are numbers.
     """
-    pairs = write_through(match_candidates(predictions, truth, threshold, keys, id_col, truth_id), "pairs")
-    found = None
-    same = lambda x, y: [x[k].eqNullSafe(y[k]) for k in keys]
-    while not pairs.isEmpty():
-        by_gt = pairs.groupBy(*keys, "gt").agg(F.min("det").alias("next"))
-        heads = pairs.join(by_gt, [*keys, "gt"]).groupBy(*keys, "det").agg(F.min(F.col("next") == F.col("det")).alias("free"), F.min(F.struct((-F.col("iou")).alias("minus"), F.col("gt").alias("gt"))).alias("best"))
-        settled = write_through(heads.filter("free").select(*keys, "det", F.col("best.gt").alias("gt")), "settled")
-        found = settled if found is None else found.unionByName(settled)
-        rest = pairs.join(settled.select(*keys, "det"), [*keys, "det"], "left_anti")
-        pairs = write_through(rest.join(settled.select(*keys, "gt"), [*keys, "gt"], "left_anti"), "pairs")
-    if found is None:
-        return predictions.withColumn("matched_gt", F.lit(None).cast(truth.schema[truth_id].dataType)).withColumn("tp", F.lit(0))
+    return with_matches(predictions, match_pairs(match_candidates(predictions, truth, threshold, keys, id_col, truth_id), keys), keys, id_col)
+
+
+def with_matches(predictions: DataFrame, found: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """``predictions`` plus ``matched_gt`` and ``tp`` from the matches ``found``."""
     hits = found.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("det").alias("_det"), F.col("gt").alias("matched_gt"))
     on = [*(predictions[k] == hits[f"_{k}"] for k in keys), predictions[id_col] == hits["_det"]]
     out = predictions.join(hits, on, "left").drop("_det", *(f"_{k}" for k in keys))
@@ -85,8 +175,8 @@ def pr_curve(matched: DataFrame, truth_count: int, group: Sequence[str] = (), or
     return out.drop("_part", "_n", "_t", "_n0", "_t0")
 
 
-def average_precision(curve: DataFrame) -> DataFrame:
-    """``ap`` (mean over LEVELS of the best precision at that recall or more), and the curve's last ``precision`` and ``recall``.
+def average_precision(curve: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """``ap`` (mean over LEVELS of the best precision at that recall or more), and the curve's last ``precision`` and ``recall``, per ``group``.
 
     One pass: the best precision at each level is a conditional maximum. All zero without detections.
     """
@@ -95,7 +185,8 @@ def average_precision(curve: DataFrame) -> DataFrame:
     total = F.lit(0.0)
     for i in range(len(LEVELS)):
         total = total + F.col(f"_{i}")
-    return curve.agg(*levels, last).select((total / len(LEVELS)).alias("ap"), F.coalesce(F.col("_last.precision"), F.lit(0.0)).alias("precision"), F.coalesce(F.col("_last.recall"), F.lit(0.0)).alias("recall"))
+    scores = curve.groupBy(*group).agg(*levels, last) if group else curve.agg(*levels, last)
+    return scores.select(*group, (total / len(LEVELS)).alias("ap"), F.coalesce(F.col("_last.precision"), F.lit(0.0)).alias("precision"), F.coalesce(F.col("_last.recall"), F.lit(0.0)).alias("recall"))
 
 
 def evaluate(predictions: DataFrame, truth: DataFrame, class_id: int | None = None, threshold: float = 0.5) -> DataFrame:
@@ -105,16 +196,22 @@ def evaluate(predictions: DataFrame, truth: DataFrame, class_id: int | None = No
     return scores.withColumn("f1", bx.f1(F.col("precision"), F.col("recall")))
 
 
-def mean_average_precision(predictions: DataFrame, truth: DataFrame, thresholds: Sequence[float] = tuple(0.5 + 0.05 * k for k in range(10))) -> DataFrame:
+def mean_average_precision(predictions: DataFrame, truth: DataFrame, thresholds: Sequence[float] = tuple(round(0.5 + 0.05 * k, 2) for k in range(10)), keys: Sequence[str] = ("image_id",), id_col: str = "det_id") -> DataFrame:
     """``map50`` and ``map50_95``: the average precision at the first threshold and its mean over all.
 
-    An extension: matching and averaging are those of ``evaluate`` at each threshold.
+    An extension: matching and averaging are those of ``evaluate`` at each threshold. Candidates are
+    found once, at the least threshold; all thresholds are then matched and averaged together.
     """
-    parts = [evaluate(predictions, truth, None, t).select(F.lit(k).alias("k"), "ap") for k, t in enumerate(thresholds)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    return every.agg(F.max(F.when(F.col("k") == 0, F.col("ap"))).alias("map50"), F.avg("ap").alias("map50_95"))
+    of = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(t)).alias("t")) for k, t in enumerate(thresholds)))
+    pairs = match_candidates(predictions, truth, min(thresholds), keys, id_col)
+    pairs = pairs.withColumn("_k", F.explode(F.transform(F.filter(of, lambda x: x["t"] <= F.col("iou")), lambda x: x["k"])))
+    found = match_pairs(pairs, ("_k", *keys))
+    every = predictions.withColumn("_k", F.explode(F.transform(of, lambda x: x["k"])))
+    curve = pr_curve(with_matches(every, found, ("_k", *keys), id_col), truth.count(), ("_k",))
+    scores = average_precision(curve, ("_k",))
+    # A threshold without detections has no row, and an average precision of zero.
+    mean = F.coalesce(F.sum("ap"), F.lit(0.0)) / len(thresholds)
+    return scores.agg(F.coalesce(F.max(F.when(F.col("_k") == 0, F.col("ap"))), F.lit(0.0)).alias("map50"), mean.alias("map50_95"))
 
 
 def metrics_by_size(matched: DataFrame, truth: DataFrame, image_size: float = 512.0) -> DataFrame:

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import boxes as bx
 from ..storage import write_through
@@ -18,6 +20,8 @@ GROUP_LIMIT = 100_000
 WIDE = 64
 #: Most pairs of a group that are compared block by block, and pairs of a block.
 PAIRS, BLOCK = 100_000_000, 500_000
+#: Side of the regions that decide conflicts by themselves, in sides of a usual box, and most pairs of one.
+REGION, REGION_PAIRS = 24.0, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -60,11 +64,11 @@ def suppress(df: DataFrame, rule: Rule, keys: Sequence[str] = ("image_id", "clas
     Strategies give the same rows: "pandas" visits each group in one task, "graph" works on pairs of
     conflicting boxes without ever gathering a group, "fold" is plain expressions for small groups.
     "auto" counts the groups and sends those above GROUP_LIMIT to the graph, so a group with a third
-    of all rows makes no large task. Rows with a null coordinate, confidence or id are dropped; a NaN
-    confidence is the lowest. Ids must be unique within a group. Empty in, empty out.
+    of all rows makes no large task. Rows with a null or NaN coordinate, a null confidence or a null id
+    are dropped; a NaN confidence is the lowest. Ids must be unique within a group. Empty in, empty out.
     """
-    names = ["x1", "y1", "x2", "y2", "conf", id_col]
-    data = df.dropna(subset=names)
+    # A NaN counts as missing to dropna, so the confidence is asked separately.
+    data = df.dropna(subset=["x1", "y1", "x2", "y2", id_col]).filter(F.col("conf").isNotNull())
     if strategy == "pandas":
         return _by_group(data, rule, keys, id_col)
     if strategy == "graph":
@@ -90,10 +94,9 @@ def suppress(df: DataFrame, rule: Rule, keys: Sequence[str] = ("image_id", "clas
 
 
 def visiting_order(rule: Rule, box: np.ndarray, conf: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    score = np.where(np.isnan(conf), -np.inf, conf)
     if rule.by_area:
-        return np.lexsort((ids, -score, -_areas(rule, box)))
-    return np.lexsort((-ids, -score))
+        return np.lexsort((ids, -conf, -_areas(rule, box)))
+    return np.lexsort((-ids, -conf))
 
 
 def _areas(rule: Rule, box: np.ndarray) -> np.ndarray:
@@ -131,6 +134,7 @@ def kept_indices(rule: Rule, box: np.ndarray, conf: np.ndarray, ids: np.ndarray)
     if not len(box):
         return np.zeros(0, np.int64)
     box = box.astype(np.float64)
+    conf = np.where(np.isnan(conf), -np.inf, conf)
     if rule.ordered:
         box = np.column_stack([np.minimum(box[:, 0], box[:, 2]), np.minimum(box[:, 1], box[:, 3]), np.maximum(box[:, 0], box[:, 2]), np.maximum(box[:, 1], box[:, 3])])
     areas = _areas(rule, box)
@@ -223,10 +227,14 @@ def _by_group(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> Da
 
 def _order_key(rule: Rule, box: bx.Box, conf: Column, ident: Column) -> Column:
     """A struct that sorts ascending in visiting order."""
-    score = F.when(F.isnan(conf), F.lit(float("-inf"))).otherwise(conf)
     if rule.by_area:
-        return F.struct((-_area_of(rule, box)).alias("a"), (-score).alias("s"), ident.alias("i"))
-    return F.struct((-score).alias("s"), (-ident).alias("i"))
+        return F.struct((-_area_of(rule, box)).alias("a"), (-conf).alias("s"), ident.alias("i"))
+    return F.struct((-conf).alias("s"), (-ident).alias("i"))
+
+
+def _score(conf: Column) -> Column:
+    """The confidence as a double, a NaN as the lowest."""
+    return F.when(F.isnan(conf.cast("double")), F.lit(float("-inf"))).otherwise(conf.cast("double"))
 
 
 def _area_of(rule: Rule, box: bx.Box) -> Column:
@@ -246,52 +254,145 @@ def conflict(rule: Rule, kept: bx.Box, kept_conf: Column, box: bx.Box, conf: Col
 
 
 def conflict_edges(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> DataFrame:
-    """``(<keys>, hi, lo)``: pairs in which the earlier box, were it kept, would rule out the later.
-
-    Candidates share a grid cell: an equi-join on keys and cell. A pair that shares several cells is
-    made in one only, the first cell of the overlap of both boxes' cells.
+    """``(<keys>, hi, lo, hi_x, hi_y, lo_x, lo_y, turn)``: pairs in which ``hi``, were it kept, would rule out the later ``lo``.
+
+    Candidates come from grids of cells, each level's four times as wide as that of the level before,
+    and an equi-join on keys, level and cell. A box has the level whose cells are as wide as itself or
+    wider, so it meets four of them at most; there it is compared with the boxes of its own and of
+    smaller levels, which are listed at all levels above theirs that some box has. So one very wide
+    box costs a row for each other box and no more. A pair that shares several cells is made in the
+    first of them only. Also given: the boxes' middles and ``lo``'s visiting order.
     """
     box = bx.ordered(bx.Box.of()) if rule.ordered else bx.Box.of()
     tol = F.lit(float(rule.tolerance))
     outer = bx.ordered(bx.Box.of())
-    flat = df.select(*keys, F.col(id_col).alias("id"), "conf", *box.columns(), (outer.x1 - tol).alias("_l"), (outer.y1 - tol).alias("_t"), (outer.x2 + tol).alias("_r"), (outer.y2 + tol).alias("_b"))
+    flat = df.select(*keys, F.col(id_col).alias("id"), _score(F.col("conf")).alias("conf"), *box.columns(), (outer.x1 - tol).alias("_l"), (outer.y1 - tol).alias("_t"), (outer.x2 + tol).alias("_r"), (outer.y2 + tol).alias("_b"))
     flat = flat.withColumn("o", _order_key(rule, bx.Box.of(), F.col("conf"), F.col("id")))
-    side = df.agg(F.percentile_approx(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))), 0.99)).first()[0]
-    side = max(1.0, float(side or 1.0) + 2 * rule.tolerance)
-    cell = {n: F.floor(F.col(f"_{n}") / side) for n in "ltrb"}
-    listed = flat.withColumns({"cl": cell["l"], "ct": cell["t"], "cr": cell["r"], "cb": cell["b"]}).drop("_l", "_t", "_r", "_b")
-    listed = listed.withColumn("cx", F.explode(F.sequence("cl", "cr"))).withColumn("cy", F.explode(F.sequence("ct", "cb")))
-    name = lambda p: listed.select(*(F.col(c).alias(f"{p}{c}") for c in listed.columns))
-    a, b = name("a_"), name("b_")
+    listed, side = grid_listed(flat, ("_l", "_t", "_r", "_b"))
+    name = lambda p, d: d.select(*(F.col(c).alias(f"{p}{c}") for c in d.columns))
+    a, b = name("a_", listed.filter("own")), name("b_", listed)
     same = [F.col(f"a_{k}").eqNullSafe(F.col(f"b_{k}")) for k in keys]
     first = (F.col("a_cx") == F.greatest("a_cl", "b_cl")) & (F.col("a_cy") == F.greatest("a_ct", "b_ct"))
-    pairs = a.join(b, [*same, F.col("a_cx") == F.col("b_cx"), F.col("a_cy") == F.col("b_cy"), F.col("a_o") < F.col("b_o"), first])
-    hit = conflict(rule, bx.Box.of("a_"), F.col("a_conf"), bx.Box.of("b_"), F.col("b_conf"))
-    return pairs.filter(hit).select(*(F.col(f"a_{k}").alias(k) for k in keys), F.col("a_id").alias("hi"), F.col("b_id").alias("lo"))
+    # Two boxes of one level meet as (a, b) and as (b, a).
+    once = ~F.col("b_own") | (F.col("a_o") < F.col("b_o"))
+    pairs = a.join(b, [*same, F.col("a_level") == F.col("b_level"), F.col("a_cx") == F.col("b_cx"), F.col("a_cy") == F.col("b_cy"), F.col("a_id") != F.col("b_id"), once, first])
+    earlier = F.col("a_o") < F.col("b_o")
+    fields = ["id", "conf", "x1", "y1", "x2", "y2", "o"]
+    end = lambda p: F.struct(*(F.col(f"{p}{c}").alias(c) for c in fields))
+    pairs = pairs.select(*(F.col(f"a_{k}").alias(k) for k in keys), F.when(earlier, end("a_")).otherwise(end("b_")).alias("h"), F.when(earlier, end("b_")).otherwise(end("a_")).alias("l"))
+    part = lambda s: bx.Box(*(F.col(f"{s}.{n}") for n in ("x1", "y1", "x2", "y2")))
+    hit = conflict(rule, part("h"), F.col("h.conf"), part("l"), F.col("l.conf"))
+    middle = lambda s, n: ((F.col(f"{s}.{n}1") + F.col(f"{s}.{n}2")) / 2 / F.lit(side)).alias(f"{'hi' if s == 'h' else 'lo'}_{n}")
+    return pairs.filter(hit).select(*keys, F.col("h.id").alias("hi"), F.col("l.id").alias("lo"), middle("h", "x"), middle("h", "y"), middle("l", "x"), middle("l", "y"), F.col("l.o").alias("turn"))
+
+
+def grid_listed(df: DataFrame, edges: Sequence[str], side: float | None = None, levels: list[int] | None = None) -> tuple[DataFrame, float]:
+    """``df`` once for each level and cell of its boxes (columns ``edges``: left, top, right, bottom), and the side of level 0.
+
+    Added: ``level``, ``own`` (whether it is the box's own level), ``cx, cy`` (the cell) and ``cl, ct``
+    (the box's first cell). Level 0 holds boxes up to ``side`` (None: the length that 99 in 100 stay
+    under); ``levels``: those to list boxes at (None: all that some box has).
+    """
+    left, top, right, bottom = map(F.col, edges)
+    span = F.greatest(right - left, bottom - top)
+    if side is None:
+        side = max(1.0, float(df.agg(F.percentile_approx(span, 0.99)).first()[0] or 1.0))
+    own = F.greatest(F.ceil(F.log2(F.greatest(span, F.lit(1.0)) / side) / 2), F.lit(0)).cast("int")
+    df = df.withColumn("_own", own)
+    # Levels differ by a factor of four: no table of doubles has more than some hundreds.
+    if levels is None:
+        levels = sorted(r[0] for r in df.select("_own").distinct().collect())
+    out = df.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda n: n >= F.col("_own"))) if levels else F.lit(0))
+    cell = lambda c: F.floor(c / (F.lit(side) * F.pow(F.lit(4.0), F.col("level"))))
+    out = out.withColumns({"own": F.col("level") == F.col("_own"), "cl": cell(left), "ct": cell(top), "cr": cell(right), "cb": cell(bottom)})
+    out = out.withColumn("cx", F.explode(F.sequence("cl", "cr"))).withColumn("cy", F.explode(F.sequence("ct", "cb")))
+    return out.drop("_own", "cr", "cb", *edges), side
+
+
+def _settled_inside(pdf):
+    """Boxes of one region that its conflicts decide, visited in order; a box of another region is open."""
+    ids, inverse = np.unique(np.concatenate([pdf["lo"].to_numpy(), pdf["hi"].to_numpy()]), return_inverse=True)
+    lo, hi = inverse[: len(pdf)], inverse[len(pdf) :]
+    kept, gone, open_ = 1, 2, 0
+    state = np.full(len(ids), open_, np.int8)
+    # A box of this region that no conflict here can drop has none left anywhere.
+    first = np.zeros(len(ids), bool)
+    first[hi[pdf["inside"].to_numpy()]] = True
+    first[lo] = False
+    state[first] = kept
+    order = np.lexsort(tuple(pdf[c].to_numpy() for c in ("o3", "o2", "o1")))
+    lo, hi = lo[order], hi[order]
+    starts = np.flatnonzero(np.r_[True, lo[1:] != lo[:-1]])
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(lo)], strict=True):
+        above = state[hi[a:b]]
+        if (above == kept).any():
+            state[lo[a]] = gone
+        elif (above == gone).all():
+            state[lo[a]] = kept
+    some = np.flatnonzero(state != open_)
+    return ids[some], state[some] == kept
+
+
+def region(x: Column, y: Column, turn: int, size: float) -> Column:
+    """The square of ``size`` a point lies in; squares move by half a side from turn to turn."""
+    dx, dy = ((0, 0), (size / 2, size / 2), (size / 2, 0), (0, size / 2))[turn % 4]
+    return F.struct(F.floor((x + dx) / size).alias("x"), F.floor((y + dy) / size).alias("y"))
 
 
 def _by_graph(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> DataFrame:
-    """Rounds on the conflict graph: boxes with no undecided conflict above them are kept, those below drop.
+    """Rounds on the conflict graph; the result is that of the sequential visit.
 
-    The result is that of the sequential visit. Each round is written to shared storage; the number
-    of rounds is that of the longest chain of decisions, and only a count of pairs reaches the driver.
+    A round deals conflicts to regions of the plane by their later box. Each region, in one task,
+    decides all boxes whose conflicts lead back to boxes decided there; regions with more than
+    REGION_PAIRS conflicts are left to the second step, which keeps every box with no undecided
+    conflict above it and drops those below. Regions move from round to round, so what crosses a
+    border is inside soon. Each round is written to shared storage; only counts reach the driver.
     """
     df = write_through(df, "boxes")
-    edges = write_through(conflict_edges(df, rule, keys, id_col), "conflicts")
-    node = lambda c: [*(F.col(k) for k in keys), F.col(c).alias("node")]
+    edges = conflict_edges(df, rule, keys, id_col)
+    turn = [F.col("turn.a") if rule.by_area else F.lit(0.0), F.col("turn.s"), F.col("turn.i")]
+    edges = write_through(edges.withColumns(dict(zip(("o1", "o2", "o3"), turn, strict=True))).drop("turn"), "conflicts")
+    kind = df.schema[id_col].dataType
     on = lambda x, y, end: [*(x[k].eqNullSafe(y[k]) for k in keys), x[end] == y["node"]]
+    decided = T.StructType([*(df.schema[k] for k in keys), T.StructField("node", kind), T.StructField("kept", T.BooleanType())])
+
+    def inside(pdf):
+        nodes, kept = _settled_inside(pdf)
+        out = {k: pdf[k].iloc[0] for k in keys} | {"node": nodes, "kept": kept}
+        return pd.DataFrame(out, columns=decided.names, index=range(len(nodes)))
+
     dropped = []
+    step = 0
     while not edges.isEmpty():
-        below = edges.select(*node("lo")).distinct()
-        heads = edges.select(*node("hi")).distinct()
-        kept = heads.join(below, [*(heads[k].eqNullSafe(below[k]) for k in keys), heads["node"] == below["node"]], "left_anti")
-        gone = write_through(edges.join(kept, on(edges, kept, "hi"), "left_semi").select(*node("lo")).distinct(), "dropped")
-        dropped.append(gone)
-        rest = edges.join(gone, on(edges, gone, "lo"), "left_anti")
+        at = region(F.col("lo_x"), F.col("lo_y"), step, REGION)
+        dealt = edges.withColumns({"_at": at, "inside": region(F.col("hi_x"), F.col("hi_y"), step, REGION) == at})
+        crowded = dealt.groupBy(*keys, "_at").agg(F.count("*").alias("_n")).filter(F.col("_n") > REGION_PAIRS)
+        if not crowded.isEmpty():
+            # Fewer regions than conflicts / REGION_PAIRS.
+            crowded = crowded.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_at").alias("_crowd"))
+            dealt = dealt.join(crowded, [*(dealt[k].eqNullSafe(crowded[f"_{k}"]) for k in keys), dealt["_at"] == crowded["_crowd"]], "left_anti")
+        found = write_through(dealt.groupBy(*keys, "_at").applyInPandas(inside, decided), "decided")
+        rest = edges.join(found, on(edges, found, "lo"), "left_anti")
+        # What is left stands below boxes kept, dropped or open; a box with nothing above it is kept too.
+        above = found.select(*(F.col(k).alias(f"_{k}") for k in keys), "node", "kept")
+        rest = rest.join(above, [*(rest[k].eqNullSafe(above[f"_{k}"]) for k in keys), rest["hi"] == above["node"]], "left").filter("kept IS NULL OR kept")
+        rest = write_through(rest.select(*edges.columns, "kept"), "rest")
+        below = rest.select(*keys, F.col("lo").alias("node")).distinct()
+        heads = rest.filter("kept IS NULL").select(*keys, F.col("hi").alias("node")).distinct()
+        heads = heads.join(below, [*(heads[k].eqNullSafe(below[k]) for k in keys), heads["node"] == below["node"]], "left_anti")
+        under = rest.join(heads, on(rest, heads, "hi"), "left_semi").unionByName(rest.filter("kept"))
+        gone = write_through(under.select(*keys, F.col("lo").alias("node")).distinct(), "dropped")
+        dropped += [found.filter("NOT kept").drop("kept"), gone]
+        rest = rest.filter("kept IS NULL").drop("kept")
+        rest = rest.join(gone, on(rest, gone, "lo"), "left_anti")
         edges = write_through(rest.join(gone, on(rest, gone, "hi"), "left_anti"), "conflicts")
-    for gone in dropped:
-        df = df.join(gone, [*(df[k].eqNullSafe(gone[k]) for k in keys), df[id_col] == gone["node"]], "left_anti")
-    return df
+        step += 1
+    if not dropped:
+        return df
+    every = dropped[0]
+    for more in dropped[1:]:
+        every = every.unionByName(more)
+    return df.join(every, [*(df[k].eqNullSafe(every[k]) for k in keys), df[id_col] == every["node"]], "left_anti")
 
 
 # --- expressions only --------------------------------------------------------------------------
@@ -300,7 +401,7 @@ def _by_graph(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> Da
 def _by_fold(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> DataFrame:
     """Each small group as one sorted array, folded into the array of kept boxes."""
     box = bx.ordered(bx.Box.of()) if rule.ordered else bx.Box.of()
-    row = F.struct(_order_key(rule, box, F.col("conf"), F.col(id_col)).alias("o"), *box.columns(), F.col("conf").alias("conf"), F.struct(*(F.col(c) for c in df.columns)).alias("row"))
+    row = F.struct(_order_key(rule, box, _score(F.col("conf")), F.col(id_col)).alias("o"), *box.columns(), _score(F.col("conf")).alias("conf"), F.struct(*(F.col(c) for c in df.columns)).alias("row"))
     groups = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("boxes"))
     part = lambda s: bx.Box(s["x1"], s["y1"], s["x2"], s["y2"])
     start = F.filter("boxes", lambda _: F.lit(False))

@@ -441,14 +441,14 @@ def _map_sql(thresholds: tuple[float, ...]) -> str:
     parts = [re.sub(r"\b(cand|ord|walk|matched|curve)\b", rf"\g<1>{k}", "cand AS" + walk.replace("iou>=0.5", f"iou>={t}::double")) for k, t in enumerate(thresholds)]
     best = [f"b{k} AS (SELECT sum(coalesce(p, 0))/11 AS ap FROM (SELECT i, max(precision) AS p FROM (VALUES {_LEVELS}) l(t, i) LEFT JOIN curve{k} ON recall>=t GROUP BY i))" for k in range(len(thresholds))]
     mean = "+".join(f"b{k}.ap" for k in range(len(thresholds)))
-    return f"WITH RECURSIVE {base}, {', '.join([*parts, *best])} SELECT round(b0.ap, 9) AS map50, round(({mean})/{len(thresholds)}, 9) AS map50_75 FROM {', '.join(f'b{k}' for k in range(len(thresholds)))}"
+    return f"WITH RECURSIVE {base}, {', '.join([*parts, *best])} SELECT round(b0.ap, 9) AS map50, round(({mean})/{len(thresholds)}, 9) AS map50_95 FROM {', '.join(f'b{k}' for k in range(len(thresholds)))}"
 
 
-@query("mean_average_precision", _map_sql((0.5, 0.75)))
+@query("mean_average_precision", _map_sql(tuple((50 + 5 * k) / 100 for k in range(10))))
 def mean_average_precision(spark, sf_dir):
     preds = fx.detections(spark, sf_dir).filter(bx.confident(F.col("conf"), 0.25))
-    out = ev.mean_average_precision(preds, fx.truth(spark, sf_dir), (0.5, 0.75))
-    return out.select(F.round("map50", 9).alias("map50"), F.round("map50_95", 9).alias("map50_75"))
+    out = ev.mean_average_precision(preds, fx.truth(spark, sf_dir))
+    return out.select(F.round("map50", 9).alias("map50"), F.round("map50_95", 9).alias("map50_95"))
 
 
 _SIZE = "CASE WHEN (x2-x1)*(y2-y1)/262144<0.01 THEN 'small' WHEN (x2-x1)*(y2-y1)/262144<0.04 THEN 'medium' ELSE 'large' END"

@@ -22,7 +22,13 @@ def oracle():
 
 def rows(df):
     df = df[sorted(df.columns)]
-    plain = lambda v: round(float(v), 9) if isinstance(v, float) or hasattr(v, "dtype") and v.dtype.kind == "f" else v
+
+    def plain(v):
+        """A value that sorts: floats rounded, null and NaN alike and first."""
+        if v is None or v != v:
+            return (0,)
+        return 1, round(float(v), 9) if isinstance(v, float) or hasattr(v, "dtype") and v.dtype.kind == "f" else v
+
     return sorted(tuple(map(plain, r)) for r in df.astype(object).itertuples(index=False))
 
 

@@ -35,7 +35,7 @@ def model(rule, rows):
                 t = rule.tolerance
                 hit = (b[0] >= a[0] - t and b[1] >= a[1] - t and b[2] <= a[2] + t and b[3] <= a[3] + t) or inter / area(c) >= rule.coverage
                 if rule.margin is not None:
-                    hit = hit and c[4] <= k[4] + rule.margin
+                    hit = hit and score(c) <= score(k) + rule.margin
             if hit:
                 break
         else:
@@ -112,3 +112,31 @@ def test_empty_and_null(spark):
     assert sp.suppress(df.limit(0), sp.nms()).count() == 0
     nulls = spark.createDataFrame([("a", 0, None, 0.0, 1.0, 1.0, 0.5, 7)], df.schema)
     assert [r.det_id for r in sp.suppress(df.unionByName(nulls), sp.nms()).collect()] == [0]
+
+
+@pytest.mark.parametrize("rule", [sp.nms(0.3), sp.nested(0.85, 3, 0)], ids=lambda r: r.name)
+def test_graph_with_wide_boxes_and_nan(spark, rule):
+    """One box of 10^9 pixels, some wide ones and unknown confidences; chains across many regions."""
+    rng = np.random.default_rng(5)
+    xy = rng.integers(0, 9000, (400, 2))
+    box = np.hstack([xy, xy + rng.integers(20, 120, (400, 2))]).astype(float)
+    box[:3] = [[-1e9, -1e9, 1e9, 1e9], [0, 0, 5000, 5000], [100, 100, 4900, 5100]]
+    chain = np.array([[40.0 * k, 9500, 40.0 * k + 100, 9600] for k in range(200)])
+    box = np.vstack([box, chain])
+    conf = rng.integers(0, 6, 600) / 5
+    conf[400:] = 1 - np.arange(200) / 1000
+    conf[rng.random(600) < 0.03] = np.nan
+    rows = [(*b, c) for b, c in zip(box.tolist(), conf.tolist(), strict=True)]
+    want = sorted(model(rule, [(*r, i) for i, r in enumerate(rows)]))
+    for strategy in ("pandas", "graph"):
+        assert sorted(r.det_id for r in sp.suppress(frame(spark, rows), rule, strategy=strategy).collect()) == want, strategy
+
+
+def test_crowded_regions_go_step_by_step(spark, monkeypatch):
+    monkeypatch.setattr(sp, "REGION_PAIRS", 20)
+    rng = np.random.default_rng(6)
+    xy = rng.integers(0, 60, (90, 2))
+    box = np.hstack([xy, xy + rng.integers(1, 30, (90, 2))])
+    rows = [(*b, c / 8) for b, c in zip(box.tolist(), rng.integers(0, 8, 90).tolist(), strict=True)]
+    want = sorted(model(sp.nms(0.3), [(*r, i) for i, r in enumerate(rows)]))
+    assert sorted(r.det_id for r in sp.suppress(frame(spark, rows), sp.nms(0.3), strategy="graph").collect()) == want
