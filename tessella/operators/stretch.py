@@ -71,5 +71,10 @@ def _quantile(v: Column, q: float) -> Column:
     return a + (b - a) * (at - low)
 
 
+def stretch_all(bands: Column, mask: Column | None = None) -> Column:
+    """Each band of an array of bands stretched by itself; ``mask``: pixels that count in none."""
+    return F.transform(bands, lambda band: stretched(band, mask))
+
+
 def stretch_bands(df: DataFrame, pixels: str = "pixels", mask: str | None = None, out: str = "bytes") -> DataFrame:
     return df.withColumn(out, stretched(F.col(pixels), F.col(mask) if mask else None))

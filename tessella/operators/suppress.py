@@ -277,13 +277,14 @@ def conflict_edges(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str)
     once = ~F.col("b_own") | (F.col("a_o") < F.col("b_o"))
     pairs = a.join(b, [*same, F.col("a_level") == F.col("b_level"), F.col("a_cx") == F.col("b_cx"), F.col("a_cy") == F.col("b_cy"), F.col("a_id") != F.col("b_id"), once, first])
     earlier = F.col("a_o") < F.col("b_o")
-    fields = ["id", "conf", "x1", "y1", "x2", "y2", "o"]
-    end = lambda p: F.struct(*(F.col(f"{p}{c}").alias(c) for c in fields))
-    pairs = pairs.select(*(F.col(f"a_{k}").alias(k) for k in keys), F.when(earlier, end("a_")).otherwise(end("b_")).alias("h"), F.when(earlier, end("b_")).otherwise(end("a_")).alias("l"))
-    part = lambda s: bx.Box(*(F.col(f"{s}.{n}") for n in ("x1", "y1", "x2", "y2")))
-    hit = conflict(rule, part("h"), F.col("h.conf"), part("l"), F.col("l.conf"))
-    middle = lambda s, n: ((F.col(f"{s}.{n}1") + F.col(f"{s}.{n}2")) / 2 / F.lit(side)).alias(f"{'hi' if s == 'h' else 'lo'}_{n}")
-    return pairs.filter(hit).select(*keys, F.col("h.id").alias("hi"), F.col("l.id").alias("lo"), middle("h", "x"), middle("h", "y"), middle("l", "x"), middle("l", "y"), F.col("l.o").alias("turn"))
+    rules_out = lambda x, y: conflict(rule, bx.Box.of(f"{x}_"), F.col(f"{x}_conf"), bx.Box.of(f"{y}_"), F.col(f"{y}_conf"))
+    pairs = pairs.filter(F.when(earlier, rules_out("a", "b")).otherwise(rules_out("b", "a")))
+    hi = lambda c: F.when(earlier, c("a")).otherwise(c("b"))
+    lo = lambda c: F.when(earlier, c("b")).otherwise(c("a"))
+    middle = lambda n: lambda p: (F.col(f"{p}_{n}1") + F.col(f"{p}_{n}2")) / 2 / F.lit(side)
+    named = {"hi": hi(lambda p: F.col(f"{p}_id")), "lo": lo(lambda p: F.col(f"{p}_id"))}
+    named |= {"hi_x": hi(middle("x")), "hi_y": hi(middle("y")), "lo_x": lo(middle("x")), "lo_y": lo(middle("y")), "turn": lo(lambda p: F.col(f"{p}_o"))}
+    return pairs.select(*(F.col(f"a_{k}").alias(k) for k in keys), *(c.alias(n) for n, c in named.items()))
 
 
 def grid_listed(df: DataFrame, edges: Sequence[str], side: float | None = None, levels: list[int] | None = None) -> tuple[DataFrame, float]:

@@ -175,16 +175,18 @@ def package_per_image(detections: DataFrame, layer: str = "detections", srs_id:
 
 
 def write_files(files: DataFrame, folder: str) -> int:
-    """Write ``(name, content)`` rows as files; ``folder`` must be mounted at the same place on all executors."""
-
-    def save(rows):
-        os.makedirs(folder, exist_ok=True)
-        for r in rows:
-            part = os.path.join(folder, f".{os.getpid()}-{r['name']}")
-            with open(part, "wb") as f:
-                f.write(r["content"])
-            os.replace(part, os.path.join(folder, r["name"]))  # a retried task leaves one whole file
-
-    files = files.select("name", "content")
-    files.foreachPartition(save)
-    return files.agg(F.count("*")).first()[0]
+    """Write ``(name, content)`` rows as files, names with folders among them, and count them; ``folder``
+    must be mounted at the same place on all executors."""
+
+    def save(batches):
+        for pdf in batches:
+            for name, content in zip(pdf["name"], pdf["content"], strict=True):
+                whole = os.path.join(folder, name.lstrip("/"))  # never outside the folder
+                os.makedirs(os.path.dirname(whole), exist_ok=True)
+                part = f"{whole}.{os.getpid()}.part"
+                with open(part, "wb") as f:
+                    f.write(content)
+                os.replace(part, whole)  # a retried task leaves one whole file
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return files.select("name", "content").mapInPandas(save, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -186,8 +186,23 @@ def read_tile(name: str, data: bytes) -> np.ndarray:
     raise ValueError(f"no decoder for {name}; plug in another")
 
 
+# Figures of five rows by three columns, a row a digit of three bits.
+GLYPHS = {"0": "75557", "1": "26227", "2": "71747", "3": "71717", "4": "55711", "5": "74717", "6": "74757", "7": "71111", "8": "75757", "9": "75717", ".": "00002", "-": "00700"}
+
+
+def draw_text(rgb: np.ndarray, text: str, x: int, y: int, colour: tuple[int, int, int] = (0, 255, 0), scale: int = 2) -> None:
+    """Write figures into the picture, their foot at ``y``; what falls outside is cut off, other signs are blank."""
+    h, w, _ = rgb.shape
+    for k, sign in enumerate(text):
+        bits = np.array([[int(row) >> 2 & 1, int(row) >> 1 & 1, int(row) & 1] for row in GLYPHS.get(sign, "00000")], bool)
+        rows, cols = np.nonzero(np.kron(bits, np.ones((scale, scale), bool)))
+        rows, cols = rows + y - 5 * scale + 1, cols + x + 4 * scale * k
+        inside = (rows >= 0) & (rows < h) & (cols >= 0) & (cols < w)
+        rgb[rows[inside], cols[inside]] = colour
+
+
 def draw_boxes(rgb: np.ndarray, boxes: list[tuple[int, int, int, int]], colour: tuple[int, int, int] = (0, 255, 0), thickness: int = 2) -> np.ndarray:
-    """A copy with box outlines; captions are left to the viewer of the draw list."""
+    """A copy with box outlines."""
     out = rgb.copy()
     h, w, _ = out.shape
     for x1, y1, x2, y2 in boxes:

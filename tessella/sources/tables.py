@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import label_line
-from ..schema import DETECTION, RASTER, TILES_META, require
-from .images import tiff_header
+from ..schema import DETECTION, TILES_META, require
 
 #: File names that count as tiles.
 TILE_FILES = r"(?i)\.(tif|tiff|png|jpg|jpeg)$"
@@ -42,23 +41,6 @@ def read_tiles(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("tile"), "content")
 
 
-def read_rasters(spark: SparkSession, path: str, crs: str = "") -> DataFrame:
-    """One row of metadata per TIFF; the image's name is the file's."""
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            rows = []
-            for p, content in zip(pdf["path"], pdf["content"], strict=True):
-                head = tiff_header(content)
-                transform = head["transform"] or (None,) * 6
-                rows.append((Path(p).stem, p, head["w"], head["h"], head["bands"], head["nodata"], *transform, crs))
-            yield pd.DataFrame(rows, columns=RASTER.names)
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.tif*").load(path).select("path", "content").mapInPandas(run, RASTER)
-
-
 def label_files(labels: DataFrame) -> DataFrame:
     """``(split, name, content)``: one text per tile, a line per label, in a fixed order."""
     line = label_line(F.col("label_class"), F.col("cx"), F.col("cy"), F.col("bw"), F.col("bh"))
@@ -71,9 +53,13 @@ def data_yaml(root: str, channels: int, class_name: str) -> str:
     return f"path: {root}\ntrain: images/train\nval: images/val\ntest: images/test\nchannels: {channels}\nnames:\n  0: {class_name}\n"
 
 
-def write_json(document: dict, path: str | Path) -> None:
+def write_text(text: str, path: str | Path) -> None:
     Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(document, indent=2) + "\n", encoding="utf-8")
+    Path(path).write_text(text, encoding="utf-8")
+
+
+def write_json(document: dict, path: str | Path) -> None:
+    write_text(json.dumps(document, indent=2) + "\n", path)
 
 
 def tiles_meta(inputs: list[dict], tile_size: int, stride: int, ms_bands: list[int], rgb_bands: list[int], skip_empty: bool) -> dict:

@@ -162,18 +162,19 @@ def test_configuration(tmp_path):
     assert cfg.split.test == 0 and cfg.tiling.tile_size_px == 512
     flat = config.validate_config(good | {"split": {}})
     assert (flat.split.train, flat.split.val, flat.split.test) == (0.7, 0.2, 0.1)
-    for bad in ({"tiling": {"tile_size_px": 500}}, {"tiling": {"overlap_fraction": 1.5}}, {"tiling": {"stride_frac": 0}}, {"split": {"train": 0.5, "val": 0.3, "test": 0.3}}, {"inputs": []}, {"run_id": None}):
+    for bad in ({"tiling": {"tile_size_px": 500}}, {"tiling": {"overlap_fraction": 1.5}}, {"tiling": {"stride_frac": 0}}, {"split": {"train": 0.5, "val": 0.3, "test": 0.3}}, {"inputs": []}, {"run_id": None}, {"inputs": [{"id": "a"}]}, {"bands": {"ms": "1"}}, {"labels": {"buffer_m": -1}}, {"split": {"ratios": {"dev": 1.0}}}, {"tiling": {"tile_size_px": True}}):
         with pytest.raises(ValueError):
             config.validate_config(good | bad)
     with pytest.raises(FileNotFoundError):
         config.load_config(tmp_path / "no.yaml")
-    (tmp_path / "bad.yaml").write_text("invalid: yaml: content: [")
-    with pytest.raises(ValueError, match="Failed to parse YAML"):
+    (tmp_path / "bad.yaml").write_text("run_id: \"open\ninputs: {{")
+    with pytest.raises(ValueError, match="no YAML"):
         config.load_config(tmp_path / "bad.yaml")
     (tmp_path / "c.yaml").write_text(json.dumps(good))
     assert config.load_config(tmp_path / "c.yaml", validate=True).run_id == "r"
     assert config.resolve_path("/x", "/y/z").as_posix() == "/y/z" and config.resolve_path("/x", "./y").as_posix() == "/x/y"
-    assert config.checked_tile_size({}) == 512
+    assert config.checked_tile_size({}) == 512 and config.model_size("w/yolo11s.pt") == "s"
+    assert cfg.labels.object_class == "circle" and cfg.split.strategy == "block" and cfg.chosen("a")[0].masks_layer == ""
     with pytest.raises(ValueError):
         config.checked_tile_size({"tile_size": 32})
 
