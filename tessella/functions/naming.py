@@ -37,5 +37,10 @@ def has_prefix(tile: Column, image_id: str) -> Column:
 
 
 def label_line(class_id: Column, cx: Column, cy: Column, bw: Column, bh: Column) -> Column:
-    """Class and shares, six decimals each, rounded half up on the decimal value."""
-    return F.format_string("%d %.6f %.6f %.6f %.6f", class_id, cx, cy, bw, bh)
+    """Class and shares, six decimals each, halves to even: as plain formatting of the doubles rounds them.
+
+    A share whose seventh decimal is a five and the last has so few decimals that the decimal number
+    is the double itself.
+    """
+    six = [F.bround(c.cast("decimal(20,15)"), 6).cast("decimal(12,6)").cast("string") for c in (cx, cy, bw, bh)]
+    return F.concat_ws(" ", class_id.cast("string"), *six)

@@ -164,7 +164,7 @@ def tile_pictures(files: DataFrame, tiles: DataFrame) -> DataFrame:
     return tiles.join(files.select(stem(F.col("path")).alias("_stem"), "path"), stem(F.col("tile")) == F.col("_stem")).drop("_stem")
 
 
-def overlays(detections: DataFrame, files: DataFrame, stride: int, min_conf: float = 0.25, thickness: int = 2, write_empty: bool = False) -> DataFrame:
+def overlays(detections: DataFrame, files: DataFrame, stride: int, min_conf: float = 0.25, thickness: int = 2, write_empty: bool = False, caption: bool = True) -> DataFrame:
     """``(folder, name, content)``: pictures (column path) with the boxes and confidences of their tile drawn in.
 
     Tiles without a picture are skipped, and pictures without a box unless ``write_empty``.
@@ -187,8 +187,8 @@ def overlays(detections: DataFrame, files: DataFrame, stride: int, min_conf: flo
                 h, w, _ = rgb.shape
                 fit = [(min(b["dx1"], w - 1), min(b["dy1"], h - 1), min(b["dx2"], w - 1), min(b["dy2"], h - 1), b["caption"]) for b in (found if found is not None else ())]
                 rgb = images.draw_boxes(rgb, [b[:4] for b in fit], thickness=thickness)
-                for x1, y1, _, _, caption in fit:
-                    images.draw_text(rgb, caption, x1, max(0, y1 - 5))
+                for x1, y1, _, _, text in fit if caption else ():
+                    images.draw_text(rgb, text, x1, max(0, y1 - 5))
                 out.append(("", path.rsplit("/", 1)[-1].rsplit(".", 1)[0] + ".png", images.png(np.ascontiguousarray(rgb))))
             yield pd.DataFrame(out, columns=["folder", "name", "content"])
 

@@ -237,19 +237,19 @@ def label_filters(spark, sf_dir):
 
 
 def _draw_rows(rows: int, cols: int, block: int) -> str:
+    """Keys and splits of the blocks of a grid, by Python's generator; the operator's own code has no part in it."""
     import random
 
-    keys = sorted({split.block_key(r * block, c * block, block) for r in range(-(-rows // block)) for c in range(-(-cols // block))})
-    return ", ".join(f"({k}, '{split.split_of(random.Random(k + 42).random(), RATIOS)}')" for k in keys)
+    keys = sorted({(r * 1000003) ^ c for r in range(-(-rows // block)) for c in range(-(-cols // block))})
+    return ", ".join(f"({k}, '{'train' if random.Random(k + 42).random() < 0.7 else 'val'}')" for k in keys)
 
 
 _SPLIT = "draws(key, split) AS (VALUES " + _draw_rows(60, 60, 6) + ")"
 
 
-@query("block_split", f"WITH {_SPLIT} SELECT tile_r, tile_c, split FROM (SELECT unnest(range(60)) tile_r), (SELECT unnest(range(60)) tile_c), draws WHERE key=xor((tile_r//6)*1000003, tile_c//6)")
+@query("block_split", f"WITH {fx.TILES.format(way='ceil')}, {_SPLIT} SELECT tile_id, split FROM tiles JOIN draws ON key=xor(cast(tile_r//6 AS bigint)*1000003, cast(tile_c//6 AS bigint))")
 def block_split(spark, sf_dir):
-    grid = spark.range(3600).select(F.floor(F.col("id") / 60).alias("tile_r"), (F.col("id") % 60).alias("tile_c"))
-    return split.with_split(grid, RATIOS, 42, 6)
+    return split.with_split(_grid(True)(spark, sf_dir), RATIOS, 42, 6).select("tile_id", "split")
 
 
 @query("split_counts", f"WITH {_LABELS}, {_SPLIT} SELECT split, count(DISTINCT tile_id) AS tiles_written, count(*) AS labels_written FROM labels JOIN draws ON key=xor(cast(tile_r//6 AS bigint)*1000003, cast(tile_c//6 AS bigint)) GROUP BY split")
@@ -433,6 +433,13 @@ def ap_11pt(spark, sf_dir):
     return out.withColumn("ap", F.round("ap", 9))
 
 
+def renamed(sql: str, names: tuple[str, ...], k: int) -> str:
+    """The table names in ``sql`` with a number behind each."""
+    import re
+
+    return re.sub(rf"\b({'|'.join(names)})\b(?=\s*(?:AS (?:MATERIALIZED )?\(|[,.)]|\s|$))", rf"\g<1>{k}", sql)
+
+
 def _map_sql(thresholds: tuple[float, ...]) -> str:
     """The matching walk once per threshold, under names of its own."""
     import re

@@ -23,6 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """A folder for files in the shared folder, as a path that Python and Spark open."""
+    path = _new_path(spark, tag)
+    if path.startswith("file:"):
+        return path.removeprefix("file://").removeprefix("file:")
+    if "://" in path:
+        raise RuntimeError(f"files need a folder that is mounted on all executors, not {path}")
+    return path
+
+
 def _new_path(spark: SparkSession, tag: str) -> str:
     """A path in the shared folder; the JVM's end removes what is there."""
     path = f"{shared_dir(spark)}/tessella/{tag}-{uuid.uuid4().hex}"

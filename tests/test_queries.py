@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from tessella import queries_io  # noqa: F401  adds its queries to the others
 from tessella.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
