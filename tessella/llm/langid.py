@@ -18,6 +18,8 @@ UNKNOWN = "und"
 LEAD = b"\n" * ORDER
 #: Bytes scored at once.
 BYTES_AT_ONCE = 1 << 18
+#: Groups into which a language's texts are dealt when some of them are chosen.
+SHARES = 64
 
 
 @dataclass
@@ -211,9 +213,11 @@ def fit_languages(docs: DataFrame, modulus: int = 4, held_out: int = 2, docs_per
     known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")).filter(F.col("_lang").isNotNull() & (F.length("_text") > 0)).filter(fold_of("_id", modulus) != held_out)
     known = known.select("_lang", F.xxhash64("_text").alias("_h"), "_text")
     kinds = known.groupBy("_lang", "_h").agg(F.max(F.length("_text") > max_chars).alias("long"))
-    # Spark keeps no more than docs_per_lang rows of a language in any task before it deals them out.
-    turn = F.row_number().over(Window.partitionBy("_lang").orderBy("long", "_h"))
-    chosen = materialize(kinds.withColumn("turn", turn).filter(F.col("turn") <= docs_per_lang).select("_lang", "_h", "turn"), "chosen")
+    # Spark keeps no more than docs_per_lang rows of a group in any task before it deals them out. First
+    # SHARES groups a language, as otherwise one task would get that many from every other.
+    least = lambda rows, *by: rows.withColumn("turn", F.row_number().over(Window.partitionBy("_lang", *by).orderBy("long", "_h"))).filter(F.col("turn") <= docs_per_lang)
+    some = materialize(least(kinds.withColumn("share", F.pmod(F.xxhash64("_h"), F.lit(SHARES))), "share").drop("turn"), "some")
+    chosen = materialize(least(some).select("_lang", "_h", "turn"), "chosen")
     languages = chosen.select("_lang").distinct().count()
     each = max(1, min(docs_per_lang, sample_chars // (max_chars * max(1, languages))))
     middle = F.col("_text").substr(F.floor(F.greatest(F.length("_text") - max_chars, F.lit(0)) / 2).cast("int") + 1, F.lit(max_chars))
