@@ -26,7 +26,6 @@ def setup_logger(name: str, level: int = logging.INFO, log_file: str | Path | No
 
 
 def enable_debug_mode(logger: logging.Logger) -> None:
-    """Everything from here on is shown."""
-    logger.setLevel(logging.DEBUG)
-    for handler in logger.handlers:
-        handler.setLevel(logging.DEBUG)
+    """Everything from here on is shown, by the logger and all that it writes to."""
+    for part in (logger, *logger.handlers):
+        part.setLevel(logging.NOTSET + 1)

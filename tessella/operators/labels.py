@@ -16,12 +16,6 @@ def explode_parts(features: DataFrame, parts: str = "parts") -> DataFrame:
     return features.filter(F.col(parts).isNotNull()).withColumn(parts, F.explode(parts)).filter(F.col(parts).isNotNull())
 
 
-def same_crs(layer_crs: str, raster_crs: str) -> None:
-    """Coordinates must already be those of the raster: there is no projection library to move them by."""
-    if layer_crs != raster_crs:
-        raise ValueError(f"layer CRS {layer_crs} is not the raster's {raster_crs}; reproject the layer first")
-
-
 def join_tiles(features: DataFrame, tiles: DataFrame, tile_size: int, stride: int, box: bx.Box | None = None, touching: bool = False) -> DataFrame:
     """Features (pixel boxes x1..y2 and ``image_id``) with each tile of their image that they meet.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
-from ..functions import georef, naming
+from ..functions import crs, georef
 from ..operators import labels, split, stretch, tiling
 from ..sources import geopackage, images, rasters, tables
 from .config import PipelineConfig
@@ -64,8 +64,9 @@ def encoded(tiles: DataFrame, bands: str, kind: str, side: int, extension: str,
 def pixel_features(spark: SparkSession, cfg: PipelineConfig, headers: DataFrame, inputs: Sequence, resolve) -> DataFrame:
     """Parts of the inputs' valid polygons as rings and boxes in pixels of their raster."""
     made = None
-    for i in inputs:
+    for i, raster in _by_id(inputs, headers):
         layer = geopackage.read_layer(spark, str(resolve(i.masks_gpkg)), i.masks_layer).filter(F.col("geom_type").isNotNull())
+        layer = layer.withColumn("parts", _in_system(layer, crs.code_of(raster["crs"])))
         rows = labels.explode_parts(layer).select(F.lit(i.id).alias("image_id"), F.col("parts").alias("rings"))
         made = rows if made is None else made.unionByName(rows)
     made = made.filter(labels.valid_polygon(F.col("rings"))).join(headers.select("image_id", "a", "c", "e", "f"), "image_id")
@@ -78,6 +79,19 @@ def pixel_features(spark: SparkSession, cfg: PipelineConfig, headers: DataFrame,
     return made.withColumns(ends).withColumn("orig_area", labels.polygon_area(F.col("rings")))
 
 
+def _in_system(layer: DataFrame, target: int | None) -> Column:
+    """The parts of a layer's geometries in the raster's system; as they are where either system is unknown."""
+    moved = F.col("parts")
+    # Systems that stand in the layer: one, as a rule.
+    for (code,) in layer.select("srs_id").distinct().collect() if target else ():
+        if code and code > 0 and code != target:
+            point = lambda p, code=code: F.struct(*(c.alias(n) for c, n in zip(crs.reproject(p["x"], p["y"], code, target), "xy", strict=True)))
+            place = lambda p: point(p)  # noqa: B023, E731
+            other = F.transform("parts", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: place(p))))  # noqa: B023
+            moved = F.when(F.col("srs_id") == code, other).otherwise(moved)
+    return moved
+
+
 def polygon_labels(features: DataFrame, tiles: DataFrame, side: int, stride: int, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """Hits (polygon parts and the tiles they touch, with their split), and the labels that hold."""
     shape = tiles.groupBy("image_id").agg(F.least(F.lit(cfg.split.block_tiles), F.max("tile_r") + 1, F.max("tile_c") + 1).alias("block"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .functions import boxes as bx
-from .functions import georef
+from .functions import crs, georef
 from .operators import evaluate as ev
 from .operators import labels, stretch, tiling
 from .plans import config, datasets, pipelines
@@ -75,6 +75,16 @@ def polygon_clip(spark, sf_dir):
     return _with_hole(spark, sf_dir).select("feature_id", labels.clip_polygon(F.col("rings"), bx.Box(x, y, x + 64, y + 64)).alias("c")).select("feature_id", "c.*")
 
 
+@query("reprojection", f"WITH {fx.FEATURES} SELECT feature_id, (300000+x1*100)::double AS east, (200000+y1*4000)::double AS north, 'UTM' AS grid FROM features")
+def reprojection(spark, sf_dir):
+    """Coordinates of a UTM zone, moved to longitude and latitude, to web Mercator, to the next zone and back."""
+    f = fx.features(spark, sf_dir).select("feature_id", (F.col("x1") * 100 + 300000).alias("x"), (F.col("y1") * 4000 + 200000).alias("y"))
+    for source, target in ((32633, 4326), (4326, 3857), (3857, 32634), (32634, 32633)):
+        x, y = crs.reproject(F.col("x"), F.col("y"), source, target)
+        f = write_through(f.select("feature_id", x.alias("x"), y.alias("y")), "moved")
+    return f.select("feature_id", F.round("x", 2).alias("east"), F.round("y", 2).alias("north"), F.lit("UTM").alias("grid"))
+
+
 # --- labels ------------------------------------------------------------------------------------------
 
 _TEXTS = f"""{_LABELS}, {_SPLIT}, lines AS (

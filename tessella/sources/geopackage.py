@@ -6,11 +6,16 @@ import os
 import sqlite3
 import struct
 import tempfile
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .rasters import Ranges
+
+#: Row numbers of a layer that one task reads.
+SPAN = 50_000
 LAYER = "path string, layer string, data_type string, srs_id long, rows long"
 FEATURE = "path string, layer string, fid long, srs_id long, geom_type string, empty boolean, parts array<array<array<struct<x: double, y: double>>>>, minx double, miny double, maxx double, maxy double, attributes map<string, string>"
 TYPES = ("Geometry", "Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon", "GeometryCollection")
@@ -68,9 +73,14 @@ def split_header(blob: bytes) -> tuple[int, bool, bytes]:
     return struct.unpack_from(f"{order}i", blob, 4)[0], bool(flags & 16), blob[8 + envelope :]
 
 
-def _opened(content: bytes) -> sqlite3.Connection:
+def _opened(path: str) -> sqlite3.Connection:
+    """A file where it is mounted is opened in place; one in another store is fetched whole."""
+    if path.startswith("file:") or "://" not in path:
+        local = path.removeprefix("file://").removeprefix("file:")
+        return sqlite3.connect(f"file:{quote(local)}?mode=ro&immutable=1", uri=True)
     db = sqlite3.connect(":memory:")
-    db.deserialize(content)
+    with Ranges(path) as source:
+        db.deserialize(source.file.read())
     return db
 
 
@@ -79,7 +89,7 @@ def _quoted(name: str) -> str:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").load(path).select("path")
 
 
 def list_layers(spark: SparkSession, path: str) -> DataFrame:
@@ -88,8 +98,8 @@ def list_layers(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for pdf in batches:
             out = []
-            for p, content in zip(pdf["path"], pdf["content"], strict=True):
-                db = _opened(content)
+            for p in pdf["path"]:
+                db = _opened(p)
                 for name, kind, srs in db.execute("SELECT table_name, data_type, srs_id FROM gpkg_contents ORDER BY table_name").fetchall():
                     out.append((p, name, kind, srs, db.execute(f"SELECT count(*) FROM {_quoted(name)}").fetchone()[0]))
                 db.close()
@@ -101,23 +111,34 @@ def list_layers(spark: SparkSession, path: str) -> DataFrame:
 def read_layer(spark: SparkSession, path: str, layer: str = "") -> DataFrame:
     """Features of ``layer`` (empty: each file's first) with geometry as parts of rings, bounds and attributes as text.
 
-    A null geometry has a null type and parts. Each file is one task's work, held in its memory.
+    A null geometry has a null type and parts. A layer is read in spans of SPAN row numbers, each a
+    row of work that Spark deals to tasks.
     """
 
-    def run(batches):
+    def spans(batches):
         for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"], strict=True):
-                db = _opened(content)
+            out = []
+            for p in pdf["path"]:
+                db = _opened(p)
                 found = db.execute("SELECT c.table_name, g.column_name FROM gpkg_contents c JOIN gpkg_geometry_columns g USING (table_name) ORDER BY c.table_name").fetchall()
-                chosen = [(t, g) for t, g in found if t == layer] if layer else found[:1]
-                for name, geom in chosen:
-                    cursor = db.execute(f"SELECT rowid AS _rowid_, * FROM {_quoted(name)}")
-                    names = [c[0] for c in cursor.description]
-                    while rows := cursor.fetchmany(5000):
-                        yield pd.DataFrame([_feature(p, name, geom, dict(zip(names, r, strict=True))) for r in rows], columns=[c.split(" ")[0] for c in ("path", "layer", "fid", "srs_id", "geom_type", "empty", "parts", "minx", "miny", "maxx", "maxy", "attributes")])
+                for name, geom in [(t, g) for t, g in found if t == layer] if layer else found[:1]:
+                    low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(name)}").fetchone()
+                    out += [(p, name, geom, k) for k in range(low, high + 1, SPAN)] if low is not None else []
+                db.close()
+            yield pd.DataFrame(out, columns=["path", "layer", "geom", "low"])
+
+    def run(batches):
+        for pdf in batches:
+            for p, name, geom, low in pdf.itertuples(index=False):
+                db = _opened(p)
+                cursor = db.execute(f"SELECT rowid AS _rowid_, * FROM {_quoted(name)} WHERE rowid BETWEEN ? AND ?", (int(low), int(low) + SPAN - 1))
+                names = [c[0] for c in cursor.description]
+                while rows := cursor.fetchmany(5000):
+                    yield pd.DataFrame([_feature(p, name, geom, dict(zip(names, r, strict=True))) for r in rows], columns=[c.split(" ")[0] for c in ("path", "layer", "fid", "srs_id", "geom_type", "empty", "parts", "minx", "miny", "maxx", "maxy", "attributes")])
                 db.close()
 
-    return _files(spark, path).mapInPandas(run, FEATURE)
+    work = _files(spark, path).mapInPandas(spans, "path string, layer string, geom string, low long")
+    return work.repartition("path", "low").mapInPandas(run, FEATURE)
 
 
 def _feature(path: str, layer: str, geom: str, row: dict) -> tuple:

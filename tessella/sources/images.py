@@ -10,6 +10,8 @@ import numpy as np
 # Tags of the TIFF format used here.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIPS, SAMPLES, ROWS, COUNTS, PLANAR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284
 PIXEL_SCALE, TIE_POINT, GEO_KEYS, NODATA = 33550, 33922, 34735, 42113
+# The keys of a system's code.
+GEOGRAPHIC, PROJECTED = 2048, 3072
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 11: 4, 12: 8, 16: 8}
 
 
@@ -58,8 +60,16 @@ def multipage_tiff(chw: np.ndarray) -> bytes:
     return bytes(out)
 
 
-def geotiff(chw: np.ndarray, transform: tuple[float, float, float, float, float, float], nodata: float | None = None) -> bytes:
-    """One page with a plane per band, georeferenced by scale and tie point (no rotation)."""
+def _geo_keys(epsg: int | None) -> list[int]:
+    """The key directory: pixels are areas; the kind of system (2: degrees, 1: a plane) and its code."""
+    keys = [(1025, 1)]
+    if epsg:
+        keys = [(1024, 2), (1025, 1), (GEOGRAPHIC, epsg)] if epsg == 4326 else [(1024, 1), (1025, 1), (PROJECTED, epsg)]
+    return [1, 1, 0, len(keys), *(v for k, value in keys for v in (k, 0, 1, value))]
+
+
+def geotiff(chw: np.ndarray, transform: tuple[float, float, float, float, float, float], nodata: float | None = None, epsg: int | None = None) -> bytes:
+    """One page with a plane per band, georeferenced by scale and tie point (no rotation) and, if given, a system's EPSG code."""
     chw = _checked(chw)
     bands, h, w = chw.shape
     a, b, c, d, e, f = transform
@@ -68,7 +78,7 @@ def geotiff(chw: np.ndarray, transform: tuple[float, float, float, float, float,
     entries = [
         _long(WIDTH, w), _long(HEIGHT, h), _short(BITS, *[8] * bands), _short(COMPRESSION, 1), _short(PHOTOMETRIC, 1), _long(STRIPS, *(8 + k * h * w for k in range(bands))),
         _short(SAMPLES, bands), _long(ROWS, h), _long(COUNTS, *[h * w] * bands), _short(PLANAR, 2), _double(PIXEL_SCALE, a, -e, 0.0), _double(TIE_POINT, 0.0, 0.0, 0.0, c, f, 0.0),
-        _short(GEO_KEYS, 1, 1, 0, 1, 1025, 0, 1, 1)]
+        _short(GEO_KEYS, *_geo_keys(epsg))]
     if nodata is not None:
         text = f"{nodata:g}\0".encode()
         entries.append((NODATA, 2, text, len(text)))

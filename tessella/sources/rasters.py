@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RASTER
-from .images import BITS, COMPRESSION, COUNTS, HEIGHT, NODATA, PIXEL_SCALE, PLANAR, ROWS, SAMPLES, SIZES, STRIPS, TIE_POINT, WIDTH
+from .images import BITS, COMPRESSION, COUNTS, GEO_KEYS, GEOGRAPHIC, HEIGHT, NODATA, PIXEL_SCALE, PLANAR, PROJECTED, ROWS, SAMPLES, SIZES, STRIPS, TIE_POINT, WIDTH
 
 # The TIFF tags of sample formats and predictors, and the codes of plain and deflated strips.
 FORMAT, PREDICTOR = 339, 317
@@ -101,6 +101,14 @@ class Raster:
         text = self.pages[0].get(NODATA)
         return float(text[0]) if text else None
 
+    @property
+    def crs(self) -> str:
+        """The coordinate system as "EPSG:n"; empty if the file names none."""
+        keys = self.pages[0].get(GEO_KEYS, ())
+        codes = {keys[k]: keys[k + 3] for k in range(4, len(keys) - 3, 4) if not keys[k + 1]}
+        code = codes.get(PROJECTED) or codes.get(GEOGRAPHIC)
+        return f"EPSG:{code}" if code else ""
+
     @property
     def transform(self) -> tuple[float, ...] | None:
         """Affine coefficients a to f of a raster without rotation; None without georeference."""
@@ -170,7 +178,8 @@ def read_rasters(spark: SparkSession, path: str, crs: str = "") -> DataFrame:
 
 
 def raster_headers(files: DataFrame, image_id, crs: str = "") -> DataFrame:
-    """Metadata of the rasters in column ``path``, under the names that the column ``image_id`` gives."""
+    """Metadata of the rasters in column ``path``, under the names that the column ``image_id`` gives; ``crs``
+    stands for what the files say of their coordinate system."""
 
     def run(batches):
         for pdf in batches:
@@ -178,7 +187,7 @@ def raster_headers(files: DataFrame, image_id, crs: str = "") -> DataFrame:
             for name, path in zip(pdf["image_id"], pdf["path"], strict=True):
                 with Ranges(path) as source:
                     r = open_raster(source)
-                rows.append((name, path, r.width, r.height, r.bands, r.nodata, *(r.transform or (None,) * 6), crs))
+                rows.append((name, path, r.width, r.height, r.bands, r.nodata, *(r.transform or (None,) * 6), crs or r.crs))
             made = pd.DataFrame(rows, columns=RASTER.names)
             yield made.astype({"w": "Int32", "h": "Int32", "bands": "Int32", "nodata": "float64"})
 

@@ -11,6 +11,10 @@ from ..plans.pipelines import merge_detections
 from ..schema import DETECTION
 
 
+#: Most images of a batch that are named in the filter of the store.
+NAMED = 1000
+
+
 def arriving_detections(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
     """A stream of the CSV files that appear in ``folder``, with each row's image."""
     rows = spark.readStream.schema(DETECTION).option("header", True).option("maxFilesPerTrigger", files_per_trigger).csv(folder)
@@ -29,7 +33,13 @@ def merge_arriving(stream: DataFrame, store: str, checkpoint: str, **merge: floa
         spark = batch.sparkSession
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("image_id", "batch").parquet(store)
         touched = batch.select("image_id").distinct()
-        every = spark.read.parquet(store).join(F.broadcast(touched) if touched.count() <= 10_000 else touched, "image_id", "left_semi")
+        names = [r[0] for r in touched.limit(NAMED + 1).collect()]
+        every = spark.read.parquet(store)
+        # Named images are folders of the store: the others are not even listed for reading.
+        if len(names) <= NAMED and None not in names:
+            every = every.filter(F.col("image_id").cast("string").isin(names))
+        else:
+            every = every.withColumn("image_id", F.col("image_id").cast("string")).join(touched, "image_id", "left_semi")
         det_id = F.xxhash64(*DETECTION.names)
         merged = merge_detections(every.dropDuplicates(["image_id", *DETECTION.names]).withColumn("det_id", det_id), **merge)
         merged.drop("det_id", "batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("image_id").parquet(f"{store}-merged")

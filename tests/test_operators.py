@@ -193,3 +193,21 @@ def test_stream_of_detections(spark, tmp_path):
     stream = ingest.arriving_detections(spark, str(tmp_path / "in"), 1)
     ingest.merge_arriving(stream, str(tmp_path / "s"), str(tmp_path / "c")).awaitTermination()
     assert [r.conf for r in spark.read.parquet(str(tmp_path / "s-merged")).collect()] == [0.9]
+
+
+def test_coordinate_systems(spark):
+    """A published place, corners of the grid, and the way there and back."""
+    from tessella.functions import crs
+
+    def at(x, y, source, target):
+        a, b = crs.reproject(F.lit(x), F.lit(y), source, target)
+        return tuple(spark.range(1).select(a, b).first())
+
+    # The CN Tower: 43 38 33.24 N, 79 23 13.7 W is 17 T 630084 4833438.
+    assert at(-(79 + 23 / 60 + 13.7 / 3600), 43 + 38 / 60 + 33.24 / 3600, 4326, 32617) == pytest.approx((630084, 4833438), abs=1)
+    assert at(15.0, 0.0, 4326, 32633) == pytest.approx((500000, 0), abs=1e-6) and at(15.0, 0.0, 4326, 32733) == pytest.approx((500000, 1e7), abs=1e-6)
+    assert at(180.0, 0.0, 4326, 3857) == pytest.approx((20037508.342789, 0), abs=1e-5)
+    assert at(*at(611234.5, 4321987.25, 32633, 4326), 4326, 32633) == pytest.approx((611234.5, 4321987.25), abs=1e-3)
+    assert crs.code_of("EPSG:32633") == 32633 and crs.code_of("local") is None
+    with pytest.raises(ValueError):
+        crs.reproject(F.lit(0.0), F.lit(0.0), 2154, 4326)
