@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.naming import image_prefix
@@ -34,12 +35,13 @@ def merge_arriving(stream: DataFrame, store: str, checkpoint: str, **merge: floa
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("image_id", "batch").parquet(store)
         touched = batch.select("image_id").distinct()
         names = [r[0] for r in touched.limit(NAMED + 1).collect()]
-        every = spark.read.parquet(store)
-        # Named images are folders of the store: the others are not even listed for reading.
+        # With a schema, as else a folder's name such as "007" would be read as a number.
+        every = spark.read.schema(T.StructType([*batch.schema, T.StructField("batch", T.LongType())])).parquet(store)
+        # Named images are folders of the store: the others are not read.
         if len(names) <= NAMED and None not in names:
-            every = every.filter(F.col("image_id").cast("string").isin(names))
+            every = every.filter(F.col("image_id").isin(names))
         else:
-            every = every.withColumn("image_id", F.col("image_id").cast("string")).join(touched, "image_id", "left_semi")
+            every = every.join(touched, every["image_id"].eqNullSafe(touched["image_id"]), "left_semi")
         det_id = F.xxhash64(*DETECTION.names)
         merged = merge_detections(every.dropDuplicates(["image_id", *DETECTION.names]).withColumn("det_id", det_id), **merge)
         merged.drop("det_id", "batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("image_id").parquet(f"{store}-merged")
