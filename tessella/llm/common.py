@@ -28,6 +28,13 @@ def append(df: DataFrame, tag: str, path: str | None) -> str:
     return append_through(df, tag, path)
 
 
+def slices(batches: Iterable, rows: int = 256):
+    """Arrow batches a few rows at a time, so that what a task derives from texts stays small."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 def text_key(column: str | Column) -> Column:
     """A 64-bit key of a whole text (null: that of the empty text)."""
     return F.xxhash64(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")))

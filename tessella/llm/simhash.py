@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, text_key
+from .common import materialize, slices, text_key
 from .components import connected_components
 
 BITS = 64
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(<id>, text_key, fp)`` for each row: its id, a 64-bit key of its text, its fingerprint as a signed long."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fps = majority_bits(batch.column(2).to_pylist(), words).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=[id_col, "text_key", "fp"])
 
