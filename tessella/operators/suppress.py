@@ -340,6 +340,24 @@ def region(x: Column, y: Column, turn: int, size: float) -> Column:
     return F.struct(F.floor((x + dx) / size).alias("x"), F.floor((y + dy) / size).alias("y"))
 
 
+def _without_copies(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> DataFrame:
+    """Of boxes with equal corners only the one visited first, so that a pile of copies makes no pairs.
+
+    It rules the others out if it stays, and whatever rules it out does the same to them. Not so where
+    a box does not rule out its own copy: where it has hardly any area, or the rule asks for more.
+    """
+    if (rule.margin or 0) < 0 or (rule.iou or 0) > 0.999:
+        return df
+    box = bx.ordered(bx.Box.of()) if rule.ordered else bx.Box.of()
+    sound = bx.area(box) > 1e-3
+    corners = ["x1", "y1", "x2", "y2"]
+    flat = df.filter(sound)
+    first = flat.groupBy(*keys, *corners).agg(F.min(_order_key(rule, box, _score(F.col("conf")), F.col(id_col))).alias("o"))
+    first = first.select(*(F.col(c).alias(f"_{c}") for c in (*keys, *corners)), (F.col("o.i") if rule.by_area else -F.col("o.i")).alias("_first"))
+    same = [*(flat[k].eqNullSafe(first[f"_{k}"]) for k in keys), *(flat[c] == first[f"_{c}"] for c in corners), flat[id_col] == first["_first"]]
+    return flat.join(first, same, "left_semi").unionByName(df.filter(~sound))
+
+
 def _by_graph(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> DataFrame:
     """Rounds on the conflict graph; the result is that of the sequential visit.
 
@@ -349,7 +367,7 @@ def _by_graph(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> Da
     conflict above it and drops those below. Regions move from round to round, so what crosses a
     border is inside soon. Each round is written to shared storage; only counts reach the driver.
     """
-    df = write_through(df, "boxes")
+    df = write_through(_without_copies(df, rule, keys, id_col), "boxes")
     edges = conflict_edges(df, rule, keys, id_col)
     turn = [F.col("turn.a") if rule.by_area else F.lit(0.0), F.col("turn.s"), F.col("turn.i")]
     edges = write_through(edges.withColumns(dict(zip(("o1", "o2", "o3"), turn, strict=True))).drop("turn"), "conflicts")

@@ -5,7 +5,7 @@ import pytest
 
 from tessella.operators import suppress as sp
 
-BOXES = [(10, 10, 50, 50, 0.90), (30, 30, 70, 70, 0.80), (100, 100, 150, 150, 0.95), (105, 105, 145, 145, 0.70)]
+BOXES = [(12, 8, 48, 52, 0.85), (28, 26, 62, 69, 0.75), (103, 97, 152, 149, 0.92), (106, 101, 146, 144, 0.66)]
 RULES = [sp.nms(0.3), sp.nested(0.85, 3, 0), sp.nested(0.8, 2, 0.2), sp.cut_boxes(0.9, 3), sp.duplicates(0.5)]
 
 
@@ -53,7 +53,7 @@ def test_known_order():
         assert sp.kept_indices(rule, b[:, :4], b[:, 4], np.arange(4)).tolist() == [2, 0, 1]
 
 
-@pytest.mark.parametrize("rows, kept", [([], []), (BOXES[:1], [0]), ([(10, 10, 50, 50, 0.7), (15, 15, 55, 55, 0.9)], [1]), ([(0, 0, 10, 10, 0.9), (20, 20, 30, 30, 0.8), (40, 0, 50, 10, 0.7)], [0, 1, 2])])
+@pytest.mark.parametrize("rows, kept", [([], []), (BOXES[:1], [0]), ([(7, 9, 41, 38, 0.25), (11, 12, 44, 43, 0.5)], [1]), ([(0, 0, 9, 9, 0.5), (21, 19, 33, 30, 0.375), (44, 2, 52, 11, 0.25)], [0, 1, 2])])
 def test_small_cases(rows, kept):
     b = np.array(rows, float).reshape(-1, 5)
     assert sp.kept_indices(sp.nms(0.3), b[:, :4], b[:, 4], np.arange(len(b))).tolist() == kept
@@ -140,3 +140,20 @@ def test_crowded_regions_go_step_by_step(spark, monkeypatch):
     rows = [(*b, c / 8) for b, c in zip(box.tolist(), rng.integers(0, 8, 90).tolist(), strict=True)]
     want = sorted(model(sp.nms(0.3), [(*r, i) for i, r in enumerate(rows)]))
     assert sorted(r.det_id for r in sp.suppress(frame(spark, rows), sp.nms(0.3), strategy="graph").collect()) == want
+
+
+@pytest.mark.parametrize("rule", RULES, ids=lambda r: f"{r.name}{r.coverage or r.iou}")
+def test_piles_of_copies(spark, rule):
+    """Thousands of equal boxes, some without area, are no pairs to the graph."""
+    rng = np.random.default_rng(7)
+    kinds = np.array([[0, 0, 20, 20], [1, 1, 21, 21], [5, 5, 5, 9], [0, 0, 30, 30], [100, 100, 120, 130]], float)
+    rows = [(*kinds[k], c / 8) for k, c in zip(rng.integers(0, 5, 60).tolist(), rng.integers(0, 8, 60).tolist(), strict=True)]
+    want = sorted(model(rule, [(*r, i) for i, r in enumerate(rows)]))
+    assert sorted(r.det_id for r in sp.suppress(frame(spark, rows), rule, strategy="graph").collect()) == want
+
+
+def test_a_large_pile(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(100_000).select(F.lit("a").alias("image_id"), F.lit(0).alias("class_id"), *(F.lit(v).alias(n) for n, v in (("x1", 0.0), ("y1", 0.0), ("x2", 9.0), ("y2", 9.0))), (F.col("id") % 100 / 100).alias("conf"), F.col("id").alias("det_id"))
+    assert [r.det_id for r in sp.suppress(df, sp.nms(0.3), strategy="graph").collect()] == [99_999]
