@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import boxes as bx
+from ..functions.naming import tile_id
+from . import tiling
 
 
 def explode_parts(features: DataFrame, parts: str = "parts") -> DataFrame:
@@ -24,16 +26,35 @@ def join_tiles(features: DataFrame, tiles: DataFrame, tile_size: int, stride: in
     ``touching`` a common edge or corner counts.
     """
     b = box or bx.Box.of()
+    first, last = _span(tile_size, stride, touching)
+    span = lambda low, high: F.explode(_steps(first(low), last(high)))
+    places = features.withColumn("tile_r", span(b.y1, b.y2)).withColumn("tile_c", span(b.x1, b.x2))
+    return places.join(tiles, ["image_id", "tile_r", "tile_c"])
+
+
+def _span(tile_size: int, stride: int, touching: bool):
+    """The first and the last row (or column) of tiles that a box meets, from its lower and its upper coordinate."""
     step, side = F.lit(float(stride)), F.lit(float(tile_size))
     if touching:
-        first = lambda low: F.greatest(F.ceil((low - side) / step), F.lit(0))
-        last = lambda high: F.floor(high / step)
-    else:
-        first = lambda low: F.greatest(F.floor((low - side) / step) + 1, F.lit(0))
-        last = lambda high: F.ceil(high / step) - 1
-    span = lambda low, high: F.when(last(high) >= first(low), F.sequence(first(low).cast("int"), last(high).cast("int"))).otherwise(F.array().cast("array<int>"))
-    places = features.withColumn("tile_r", F.explode(span(b.y1, b.y2))).withColumn("tile_c", F.explode(span(b.x1, b.x2)))
-    return places.join(tiles, ["image_id", "tile_r", "tile_c"])
+        return lambda low: F.greatest(F.ceil((low - side) / step), F.lit(0)), lambda high: F.floor(high / step)
+    return lambda low: F.greatest(F.floor((low - side) / step) + 1, F.lit(0)), lambda high: F.ceil(high / step) - 1
+
+
+def _steps(first: Column, last: Column) -> Column:
+    return F.when(last >= first, F.sequence(first.cast("int"), last.cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def join_raster_tiles(features: DataFrame, rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool = False, touching: bool = False) -> DataFrame:
+    """What ``join_tiles`` gives for the whole grids of ``rasters``, without making the grids: only the
+    tiles that features meet are ever listed, cut to the number of rows and columns of their raster."""
+    n = {c: tiling.tile_count(F.col(c), F.lit(tile_size), F.lit(stride), cover_edges) for c in ("w", "h")}
+    limits = rasters.select("image_id", n["h"].alias("_rows"), n["w"].alias("_cols"))
+    first, last = _span(tile_size, stride, touching)
+    along = lambda low, high, most: F.explode(_steps(first(low), F.least(last(high), most - 1)))
+    b = bx.Box.of()
+    placed = features.join(limits, "image_id").withColumn("tile_r", along(b.y1, b.y2, F.col("_rows"))).withColumn("tile_c", along(b.x1, b.x2, F.col("_cols")))
+    x0, y0 = (F.col("tile_c") * stride).alias("x0"), (F.col("tile_r") * stride).alias("y0")
+    return placed.select("image_id", "tile_r", "tile_c", *(c for c in features.columns if c != "image_id"), x0, y0, tile_id(F.col("image_id"), F.col("tile_r"), F.col("tile_c")).alias("tile_id"))
 
 
 def clip_boxes(pairs: DataFrame, tile_size: int, orig_area: Column | None = None) -> DataFrame:

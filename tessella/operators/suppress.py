@@ -254,14 +254,14 @@ def conflict(rule: Rule, kept: bx.Box, kept_conf: Column, box: bx.Box, conf: Col
 
 
 def conflict_edges(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> DataFrame:
-    """``(<keys>, hi, lo, hi_x, hi_y, lo_x, lo_y, turn)``: pairs in which ``hi``, were it kept, would rule out the later ``lo``.
+    """``(<keys>, hi, lo, hi_x, hi_y, lo_x, lo_y, o1, o2, o3)``: pairs in which ``hi``, were it kept, would rule out the later ``lo``.
 
     Candidates come from grids of cells, each level's four times as wide as that of the level before,
     and an equi-join on keys, level and cell. A box has the level whose cells are as wide as itself or
     wider, so it meets four of them at most; there it is compared with the boxes of its own and of
     smaller levels, which are listed at all levels above theirs that some box has. So one very wide
     box costs a row for each other box and no more. A pair that shares several cells is made in the
-    first of them only. Also given: the boxes' middles and ``lo``'s visiting order.
+    first of them only. Also given: the boxes' middles and ``lo``'s visiting order (o1, then o2, then o3).
     """
     box = bx.ordered(bx.Box.of()) if rule.ordered else bx.Box.of()
     tol = F.lit(float(rule.tolerance))
@@ -269,21 +269,26 @@ def conflict_edges(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str)
     flat = df.select(*keys, F.col(id_col).alias("id"), _score(F.col("conf")).alias("conf"), *box.columns(), (outer.x1 - tol).alias("_l"), (outer.y1 - tol).alias("_t"), (outer.x2 + tol).alias("_r"), (outer.y2 + tol).alias("_b"))
     flat = flat.withColumn("o", _order_key(rule, bx.Box.of(), F.col("conf"), F.col("id")))
     listed, side = grid_listed(flat, ("_l", "_t", "_r", "_b"))
+    # As plain columns, since pairs compare these more than anything else.
+    turns = ["o1", "o2", "o3"]
+    listed = listed.withColumns(dict(zip(turns, (F.col("o.a") if rule.by_area else F.lit(0.0), F.col("o.s"), F.col("o.i")), strict=True))).drop("o")
     name = lambda p, d: d.select(*(F.col(c).alias(f"{p}{c}") for c in d.columns))
     a, b = name("a_", listed.filter("own")), name("b_", listed)
+    x, y = ([F.col(f"{p}_{c}") for c in turns] for p in "ab")
+    earlier = (x[0] < y[0]) | ((x[0] == y[0]) & ((x[1] < y[1]) | ((x[1] == y[1]) & (x[2] < y[2]))))
     same = [F.col(f"a_{k}").eqNullSafe(F.col(f"b_{k}")) for k in keys]
     first = (F.col("a_cx") == F.greatest("a_cl", "b_cl")) & (F.col("a_cy") == F.greatest("a_ct", "b_ct"))
     # Two boxes of one level meet as (a, b) and as (b, a).
-    once = ~F.col("b_own") | (F.col("a_o") < F.col("b_o"))
+    once = ~F.col("b_own") | earlier
     pairs = a.join(b, [*same, F.col("a_level") == F.col("b_level"), F.col("a_cx") == F.col("b_cx"), F.col("a_cy") == F.col("b_cy"), F.col("a_id") != F.col("b_id"), once, first])
-    earlier = F.col("a_o") < F.col("b_o")
     rules_out = lambda x, y: conflict(rule, bx.Box.of(f"{x}_"), F.col(f"{x}_conf"), bx.Box.of(f"{y}_"), F.col(f"{y}_conf"))
     pairs = pairs.filter(F.when(earlier, rules_out("a", "b")).otherwise(rules_out("b", "a")))
     hi = lambda c: F.when(earlier, c("a")).otherwise(c("b"))
     lo = lambda c: F.when(earlier, c("b")).otherwise(c("a"))
     middle = lambda n: lambda p: (F.col(f"{p}_{n}1") + F.col(f"{p}_{n}2")) / 2 / F.lit(side)
     named = {"hi": hi(lambda p: F.col(f"{p}_id")), "lo": lo(lambda p: F.col(f"{p}_id"))}
-    named |= {"hi_x": hi(middle("x")), "hi_y": hi(middle("y")), "lo_x": lo(middle("x")), "lo_y": lo(middle("y")), "turn": lo(lambda p: F.col(f"{p}_o"))}
+    named |= {"hi_x": hi(middle("x")), "hi_y": hi(middle("y")), "lo_x": lo(middle("x")), "lo_y": lo(middle("y"))}
+    named |= {c: lo(lambda p, c=c: F.col(f"{p}_{c}")) for c in turns}
     return pairs.select(*(F.col(f"a_{k}").alias(k) for k in keys), *(c.alias(n) for n, c in named.items()))
 
 
@@ -291,13 +296,15 @@ def grid_listed(df: DataFrame, edges: Sequence[str], side: float | None = None,
     """``df`` once for each level and cell of its boxes (columns ``edges``: left, top, right, bottom), and the side of level 0.
 
     Added: ``level``, ``own`` (whether it is the box's own level), ``cx, cy`` (the cell) and ``cl, ct``
-    (the box's first cell). Level 0 holds boxes up to ``side`` (None: the length that 99 in 100 stay
-    under); ``levels``: those to list boxes at (None: all that some box has).
+    (the box's first cell). Level 0 holds boxes up to ``side`` (None: about the length that 99 in 100
+    stay under); ``levels``: those to list boxes at (None: all that some box has).
     """
     left, top, right, bottom = map(F.col, edges)
     span = F.greatest(right - left, bottom - top)
     if side is None:
-        side = max(1.0, float(df.agg(F.percentile_approx(span, 0.99)).first()[0] or 1.0))
+        usual, most = df.agg(F.percentile_approx(span, 0.99), F.max(span)).first()
+        # Where no box is much wider than that, one level holds them all.
+        side = max(1.0, float((most if most <= 2 * usual else usual) if usual else 1.0))
     own = F.greatest(F.ceil(F.log2(F.greatest(span, F.lit(1.0)) / side) / 2), F.lit(0)).cast("int")
     df = df.withColumn("_own", own)
     # Levels differ by a factor of four: no table of doubles has more than some hundreds.
@@ -368,9 +375,7 @@ def _by_graph(df: DataFrame, rule: Rule, keys: Sequence[str], id_col: str) -> Da
     border is inside soon. Each round is written to shared storage; only counts reach the driver.
     """
     df = write_through(_without_copies(df, rule, keys, id_col), "boxes")
-    edges = conflict_edges(df, rule, keys, id_col)
-    turn = [F.col("turn.a") if rule.by_area else F.lit(0.0), F.col("turn.s"), F.col("turn.i")]
-    edges = write_through(edges.withColumns(dict(zip(("o1", "o2", "o3"), turn, strict=True))).drop("turn"), "conflicts")
+    edges = write_through(conflict_edges(df, rule, keys, id_col), "conflicts")
     kind = df.schema[id_col].dataType
     on = lambda x, y, end: [*(x[k].eqNullSafe(y[k]) for k in keys), x[end] == y["node"]]
     decided = T.StructType([*(df.schema[k] for k in keys), T.StructField("node", kind), T.StructField("kept", T.BooleanType())])

@@ -37,7 +37,8 @@ def uniform_tiling(rasters: DataFrame, tile: str = "tile_size", stride: str = "s
     return low[tile], low[stride]
 
 
-def _counts(size: Column, tile: Column, stride: Column, cover: bool) -> Column:
+def tile_count(size: Column, tile: Column, stride: Column, cover: bool) -> Column:
+    """Tiles along a side; ``cover``: up to the edge and beyond it. Zero or less where the side is too short."""
     steps = (size - tile) / stride
     return (F.ceil(steps) if cover else F.floor(steps)).cast("int") + 1
 
@@ -49,7 +50,7 @@ def tile_grid(rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool
     may reach beyond it (to be padded). A raster smaller than a tile by a stride or more gives none.
     """
     tile, step = F.lit(tile_size), F.lit(stride)
-    along = lambda n, size: F.explode(F.when(_counts(F.col(size), tile, step, cover_edges) > 0, F.sequence(F.lit(0), _counts(F.col(size), tile, step, cover_edges) - 1)).otherwise(F.array().cast("array<int>"))).alias(n)
+    along = lambda n, size: F.explode(F.when(tile_count(F.col(size), tile, step, cover_edges) > 0, F.sequence(F.lit(0), tile_count(F.col(size), tile, step, cover_edges) - 1)).otherwise(F.array().cast("array<int>"))).alias(n)
     rows = rasters.select(F.col(image_id).alias("image_id"), F.col(width), along("tile_r", height))
     cells = rows.select("image_id", "tile_r", along("tile_c", width))
     x0, y0 = (F.col("tile_c") * step).alias("x0"), (F.col("tile_r") * step).alias("y0")

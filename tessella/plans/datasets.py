@@ -92,10 +92,11 @@ def _in_system(layer: DataFrame, target: int | None) -> Column:
     return moved
 
 
-def polygon_labels(features: DataFrame, tiles: DataFrame, side: int, stride: int, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+def polygon_labels(features: DataFrame, headers: DataFrame, side: int, stride: int, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """Hits (polygon parts and the tiles they touch, with their split), and the labels that hold."""
-    shape = tiles.groupBy("image_id").agg(F.least(F.lit(cfg.split.block_tiles), F.max("tile_r") + 1, F.max("tile_c") + 1).alias("block"))
-    hits = labels.join_tiles(features, tiles, side, stride, touching=True).join(shape, "image_id")
+    along = [tiling.tile_count(F.col(n), F.lit(side), F.lit(stride), False) for n in ("h", "w")]
+    shape = headers.select("image_id", F.greatest(F.lit(1), F.least(F.lit(cfg.split.block_tiles), *along)).alias("block"))
+    hits = labels.join_raster_tiles(features, headers, side, stride, touching=True).join(shape, "image_id")
     hits = split.without_empty_splits(split.with_split(hits, cfg.split.ratios, cfg.split.seed, F.col("block")), cfg.split.ratios)
     x0, y0 = F.col("x0").cast("double"), F.col("y0").cast("double")
     cut = hits.withColumn("cut", labels.clip_polygon(F.col("rings"), bx.Box(x0, y0, x0 + float(side), y0 + float(side)))).filter("cut IS NOT NULL AND cut.area IS NOT NULL")
@@ -109,9 +110,8 @@ def build_dataset(spark: SparkSession, cfg: PipelineConfig, out: str, resolve=la
     from ..storage import write_through
 
     headers, side, stride = sized(write_through(open_inputs(spark, cfg.inputs, resolve), "headers"), cfg)
-    tiles = tiling.tile_grid(headers, side, stride, cover_edges=False)
     features = write_through(pixel_features(spark, cfg, headers, cfg.inputs, resolve), "features")
-    hits, made = polygon_labels(features, tiles, side, stride, cfg)
+    hits, made = polygon_labels(features, headers, side, stride, cfg)
     made = write_through(made.drop("rings", "cut"), "labels")
     key = ["image_id", "tile_r", "tile_c"]
     chosen = made.select(*key, "x0", "y0", "tile_id", "split").distinct().join(headers.select("image_id", "path"), "image_id")

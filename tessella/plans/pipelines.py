@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from ..functions import georef
-from ..operators import labels, split, tiling
+from ..operators import labels, split
 from ..operators.suppress import cut_boxes, duplicates, nested, nms, suppress
 
 
@@ -45,9 +45,8 @@ def export_detections(detections: DataFrame, min_conf: float = 0.25, dedup: bool
 
 
 def build_labels(features: DataFrame, rasters: DataFrame, tile_size: int, stride: int, ratios: dict[str, float], seed: int = 42, block_tiles: int | Column = 4, min_area_fraction: float = 0.25, min_bbox_px: int = 4, class_id: int = 0) -> DataFrame:
-    """Labels of every whole tile with its split: grid, join, split, clip, filter, shares."""
-    tiles = tiling.tile_grid(rasters, tile_size, stride, cover_edges=False)
-    hits = labels.join_tiles(features, tiles, tile_size, stride)
+    """Labels of every whole tile with its split: the tiles met, split, clip, filter, shares."""
+    hits = labels.join_raster_tiles(features, rasters, tile_size, stride)
     placed = split.without_empty_splits(split.with_split(hits, ratios, seed, block_tiles), ratios)
     return labels.pixel_labels(labels.clip_boxes(placed, tile_size), tile_size, min_area_fraction, min_bbox_px, class_id)
 

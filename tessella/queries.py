@@ -204,8 +204,7 @@ def topk_per_tile(spark, sf_dir):
 
 
 def _hits(spark, sf_dir):
-    r = fx.rasters(spark, sf_dir)
-    return labels.join_tiles(fx.features(spark, sf_dir), tiling.tile_grid(r, TILE, STRIDE, False), TILE, STRIDE)
+    return labels.join_raster_tiles(fx.features(spark, sf_dir), fx.rasters(spark, sf_dir), TILE, STRIDE)
 
 
 _HITS = fx.TILES.format(way="floor") + f", {fx.FEATURES}" + """, hits AS (
