@@ -125,3 +125,24 @@ def test_stages(spark, place, capsys):
     scores = json.loads((root / "v/metrics.json").read_text())
     assert scores["precision"] == 1.0 and scores["recall"] == pytest.approx(0.25, abs=1e-6)
     assert run("merge", "--pred_csv", root / "p", "--meta", root / "t/tiles_meta.json", "--out", root / "m2", "--input_id", "zz") == 1
+
+
+def test_layers_in_another_system(spark, tmp_path):
+    """A raster of a UTM zone and a layer in degrees: labels are those of the same boxes in the raster's system."""
+    from pyspark.sql import functions as F
+
+    from tessella.functions import crs
+    from tessella.plans import config, datasets
+
+    chw = np.random.default_rng(1).integers(1, 200, (3, 200, 200)).astype(np.uint8)
+    (tmp_path / "a.tif").write_bytes(images.geotiff(chw, (10.0, 0.0, 500000.0, 0.0, -10.0, 5000000.0), epsg=32633))
+    found = [(20.5, 30.5, 60.5, 70.5), (110.5, 100.5, 160.5, 150.5)]
+    corners = spark.createDataFrame([(k, 500000 + 10 * x, 5000000 - 10 * y) for k, b in enumerate(found) for x, y in (b[:2], b[2:])], "k int, x double, y double")
+    lon, lat = crs.reproject(F.col("x"), F.col("y"), 32633, 4326)
+    degrees = corners.select("k", lon.alias("lon"), lat.alias("lat")).groupBy("k").agg(F.min("lon").alias("minx"), F.min("lat").alias("miny"), F.max("lon").alias("maxx"), F.max("lat").alias("maxy")).toPandas()
+    (tmp_path / "a.gpkg").write_bytes(geopackage.package_bytes(degrees[["minx", "miny", "maxx", "maxy", "k"]], "things", 4326, "WGS 84"))
+    cfg = config.validate_config({"run_id": "r", "inputs": [{"id": "a", "raster": str(tmp_path / "a.tif"), "masks_gpkg": str(tmp_path / "a.gpkg")}], "bands": {"ms": [1], "rgb": [1, 2, 3]}, "tiling": {"tile_size_px": 96, "stride_frac": 1.0}, "split": {"ratios": {"train": 1.0}}})
+    meta = datasets.build_dataset(spark, cfg, str(tmp_path / "out"))
+    assert meta["inputs"][0]["crs"] == "EPSG:32633" and meta["stats"]["labels_written"]["train"] == 2
+    first = (tmp_path / "out/labels/train/tile_a_r0000_c0000.txt").read_text()
+    assert first == f"0 {40 / 96:.6f} {50 / 96:.6f} {40 / 96:.6f} {40 / 96:.6f}\n"
