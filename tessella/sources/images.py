@@ -188,9 +188,13 @@ def read_png(data: bytes) -> np.ndarray:
 
 
 def read_tile(name: str, data: bytes) -> np.ndarray:
-    """A tile's pixels as (height, width, bands), by its name's extension."""
+    """A tile's pixels as (height, width, bands), by its name's extension; samples are cast to 8 bits, not scaled."""
     if name.lower().endswith((".tif", ".tiff")):
-        return read_tiff(data).transpose(1, 2, 0)
+        from .rasters import Ranges, open_raster
+
+        source = Ranges(name, data)
+        r = open_raster(source)
+        return np.stack([r.window(source, b + 1, 0, 0, r.width, r.height).astype(np.uint8) for b in range(r.bands)], axis=2)
     if name.lower().endswith(".png"):
         return read_png(data)
     raise ValueError(f"no decoder for {name}; plug in another")

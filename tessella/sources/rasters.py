@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import math
 import struct
 import zlib
@@ -17,20 +18,24 @@ from pyspark.sql import types as T
 from ..schema import RASTER
 from .images import BITS, COMPRESSION, COUNTS, GEO_KEYS, GEOGRAPHIC, HEIGHT, NODATA, PIXEL_SCALE, PLANAR, PROJECTED, ROWS, SAMPLES, SIZES, STRIPS, TIE_POINT, WIDTH
 
-# The TIFF tags of sample formats and predictors, and the codes of plain and deflated strips.
+# The TIFF tags of sample formats, predictors and tiles, the codes of compressions, and LZW's control codes.
 FORMAT, PREDICTOR = 339, 317
-PLAIN, DEFLATED = 1, (8, 32946)
+TILE_WIDTH, TILE_HEIGHT, TILES, TILE_COUNTS = 322, 323, 324, 325
+PLAIN, LZW, DEFLATED = 1, 5, (8, 32946)
+CLEAR, END = 256, 257
 LETTERS = {1: "B", 2: "s", 3: "H", 4: "I", 11: "f", 12: "d", 16: "Q"}
 #: A read may take so many times the bytes that are needed, to spare a read per row.
 SLACK = 4
 
 
 class Ranges:
-    """Bytes of a file by offset, from a mounted path or any store that Arrow opens by its URI."""
+    """Bytes of a file by offset, from a mounted path, any store that Arrow opens by its URI, or memory."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, content: bytes | None = None):
         self.path = path
-        if path.startswith("file:") or "://" not in path:
+        if content is not None:
+            self.file = io.BytesIO(content)
+        elif path.startswith("file:") or "://" not in path:
             self.file = open(path.removeprefix("file://").removeprefix("file:"), "rb")  # noqa: SIM115
         else:
             from pyarrow.fs import FileSystem
@@ -77,6 +82,31 @@ def directories(source: Ranges) -> tuple[str, list[dict[int, tuple]]]:
     return order, pages
 
 
+def unpacked(data: bytes) -> bytes:
+    """LZW as TIFF has it: codes of 9 to 12 bits, high bits first, one bit longer just before the table needs it."""
+    out: list[bytes] = []
+    table: list[bytes] = []
+    last, width, held, bits = b"", 9, 0, 0
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == END:
+            break
+        if code == CLEAR:
+            table, last, width = [bytes([k]) for k in range(256)] + [b"", b""], b"", 9
+            continue
+        entry = table[code] if code < len(table) else last + last[:1]
+        out.append(entry)
+        if last:
+            table.append(last + entry[:1])
+        last = entry
+        width = 9 + (len(table) >= 511) + (len(table) >= 1023) + (len(table) >= 2047)
+    return b"".join(out)
+
+
 @dataclass
 class Raster:
     """What a TIFF's pages say about its size, place and samples."""
@@ -140,6 +170,16 @@ class Raster:
             return out
         apart = planar == 2 or samples == 1
         step = 1 if apart else samples  # samples from one pixel to the next
+        if TILE_WIDTH in page:
+            tw, th = int(page[TILE_WIDTH][0]), int(page[TILE_HEIGHT][0])
+            across, down = math.ceil(self.width / tw), math.ceil(self.height / th)
+            for r in range(y1 // th, (y2 - 1) // th + 1):
+                for c in range(x1 // tw, (x2 - 1) // tw + 1):
+                    index = r * across + c + (sample * across * down if apart else 0)
+                    tile = self._decoded(source, page, int(page[TILES][index]), int(page[TILE_COUNTS][index]), th, tw, step, dtype)[:, (0 if apart else sample) :: step]
+                    top, end, left, right = max(y1, r * th), min(y2, (r + 1) * th), max(x1, c * tw), min(x2, (c + 1) * tw)
+                    out[top - y : end - y, left - x : right - x] = tile[top - r * th : end - r * th, left - c * tw : right - c * tw]
+            return out
         tall = min(int(page.get(ROWS, (self.height,))[0]), self.height)
         per_plane = math.ceil(self.height / tall)
         for strip in range(y1 // tall, (y2 - 1) // tall + 1):
@@ -153,13 +193,12 @@ class Raster:
         """Samples of columns x1 to x2 in some rows of a strip."""
         size = dtype.itemsize
         line, left, need = self.width * step * size, x1 * step * size, (x2 - x1) * step * size
-        code, start = int(page.get(COMPRESSION, (PLAIN,))[0]), int(page[STRIPS][index])
-        if code in DEFLATED and int(page.get(PREDICTOR, (1,))[0]) == 1:
-            whole = zlib.decompress(source.at(start, int(page[COUNTS][index])))
-            parts = [whole[r * line + left : r * line + left + need] for r in range(first, last)]
-        elif code != PLAIN:
-            raise ValueError(f"{source.path}: compression {code} cannot be read here; plug in another decoder")
-        elif line <= SLACK * need:
+        start = int(page[STRIPS][index])
+        if int(page.get(COMPRESSION, (PLAIN,))[0]) != PLAIN:
+            tall = min(int(page.get(ROWS, (self.height,))[0]), self.height)
+            rows = min(tall, self.height - index % math.ceil(self.height / tall) * tall)
+            return self._decoded(source, page, start, int(page[COUNTS][index]), rows, self.width, step, dtype)[first:last, x1 * step : x2 * step]
+        if line <= SLACK * need:
             block = source.at(start + first * line + left, (last - first - 1) * line + need)
             parts = [block[k * line : k * line + need] for k in range(last - first)]
         else:
@@ -167,6 +206,24 @@ class Raster:
         return np.frombuffer(b"".join(parts), dtype).reshape(last - first, -1).astype(dtype.newbyteorder("="))
 
 
+    def _decoded(self, source: Ranges, page: dict[int, tuple], start: int, count: int, height: int, width: int, step: int, dtype: np.dtype) -> np.ndarray:
+        """All samples of a strip or tile, a row each."""
+        code, data = int(page.get(COMPRESSION, (PLAIN,))[0]), source.at(start, count)
+        if code in DEFLATED:
+            data = zlib.decompress(data)
+        elif code == LZW:
+            data = unpacked(data)
+        elif code != PLAIN:
+            raise ValueError(f"{source.path}: compression {code} cannot be read here; plug in another decoder")
+        rows = np.frombuffer(data, dtype, height * width * step).reshape(height, width, step).astype(dtype.newbyteorder("="))
+        kind = int(page.get(PREDICTOR, (1,))[0])
+        if kind == 2:  # each sample is the difference from the pixel on its left
+            rows = np.cumsum(rows, axis=1, dtype=rows.dtype)
+        elif kind != 1:
+            raise ValueError(f"{source.path}: predictor {kind} cannot be read here; plug in another decoder")
+        return rows.reshape(height, width * step)
+
+
 def open_raster(source: Ranges) -> Raster:
     return Raster(*directories(source))
 

@@ -146,3 +146,79 @@ def test_layers_in_another_system(spark, tmp_path):
     assert meta["inputs"][0]["crs"] == "EPSG:32633" and meta["stats"]["labels_written"]["train"] == 2
     first = (tmp_path / "out/labels/train/tile_a_r0000_c0000.txt").read_text()
     assert first == f"0 {40 / 96:.6f} {50 / 96:.6f} {40 / 96:.6f} {40 / 96:.6f}\n"
+
+
+def _packed(data):
+    """LZW by the format's description: the table's code 511 makes codes ten bits long, and so on."""
+    out, bits = 0, 0
+
+    def put(code, width):
+        nonlocal out, bits
+        out, bits = out << width | code, bits + width
+
+    fresh = lambda: {bytes([k]): k for k in range(256)}
+    table, nxt, width, run = fresh(), 258, 9, b""
+    put(256, 9)
+    for k in range(len(data)):
+        c = data[k : k + 1]
+        if run + c in table:
+            run += c
+            continue
+        put(table[run], width)
+        table[run + c] = nxt
+        nxt += 1
+        if nxt == 4094:
+            put(256, width)
+            table, nxt, width = fresh(), 258, 9
+        else:
+            width = 9 + (nxt > 511) + (nxt > 1023) + (nxt > 2047)
+        run = c
+    if run:
+        put(table[run], width)
+        nxt += 1
+        width = 9 + (nxt > 511) + (nxt > 1023) + (nxt > 2047)
+    put(257, width)
+    return (out << -bits % 8).to_bytes(-(-bits // 8), "big")
+
+
+@pytest.mark.parametrize("code, predictor", [(1, 1), (8, 1), (8, 2), (5, 1), (5, 2)])
+@pytest.mark.parametrize("tiled", [False, True])
+@pytest.mark.parametrize("apart", [False, True])
+def test_compressed_and_tiled(tmp_path, code, predictor, tiled, apart):
+    """16-bit samples in strips or tiles, plain, deflated or by LZW, as differences or not, by band or by pixel."""
+    import struct
+    import zlib
+
+    rng = np.random.default_rng(2)
+    hwc = (rng.integers(0, 40, (70, 90, 2)).cumsum(axis=1) * 13).astype("<u2")
+    th, tw = (32, 48) if tiled else (16, 90)
+    blocks = []
+    for planes in ([hwc[:, :, :1], hwc[:, :, 1:]] if apart else [hwc]):
+        for r in range(0, 70, th):
+            for c in range(0, 90, tw):
+                part = planes[r : r + th, c : c + tw]
+                if tiled:
+                    part = np.pad(part, ((0, th - part.shape[0]), (0, tw - part.shape[1]), (0, 0)))
+                if predictor == 2:
+                    part = np.diff(part, axis=1, prepend=np.zeros_like(part[:, :1]))
+                raw = np.ascontiguousarray(part, "<u2").tobytes()
+                blocks.append(zlib.compress(raw) if code == 8 else _packed(raw) if code == 5 else raw)
+    starts = np.cumsum([8] + [len(b) for b in blocks])
+    entries = [images._long(256, 90), images._long(257, 70), images._short(258, 16, 16), images._short(259, code), images._short(277, 2), images._short(284, 2 if apart else 1), images._short(317, predictor)]
+    if tiled:
+        entries += [images._long(322, tw), images._long(323, th), images._long(324, *starts[:-1].tolist()), images._long(325, *(len(b) for b in blocks))]
+    else:
+        entries += [images._long(278, th), images._long(273, *starts[:-1].tolist()), images._long(279, *(len(b) for b in blocks))]
+    data = struct.pack("<2sHI", b"II", 42, int(starts[-1])) + b"".join(blocks) + images._directory(entries, int(starts[-1]), False)
+    (tmp_path / "x.tif").write_bytes(data)
+    with rasters.Ranges(str(tmp_path / "x.tif")) as source:
+        r = rasters.open_raster(source)
+        for b in (1, 2):
+            assert (r.window(source, b, 0, 0, 90, 70) == hwc[:, :, b - 1]).all()
+            assert (r.window(source, b, 37, 25, 30, 40) == hwc[25:65, 37:67, b - 1]).all()
+    assert (images.read_tile("x.tif", data) == hwc.astype(np.uint8)).all()
+
+
+def test_lzw_of_long_data():
+    data = bytes(np.random.default_rng(3).integers(0, 9, 60_000).astype(np.uint8))
+    assert rasters.unpacked(_packed(data)) == data and rasters.unpacked(_packed(b"")) == b""
