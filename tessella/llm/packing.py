@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .common import materialize, text_key
 
-#: Words whose ids a task remembers in each of two generations.
+#: Words whose ids a task remembers in each of two generations, about 200 bytes each, if not told otherwise.
 REMEMBERED_WORDS = 300_000
 PIECES = T.StructType([T.StructField(n, t) for n, t in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()))])
 
@@ -47,15 +47,17 @@ def cuts_words(tokenizer) -> bool:
 class PieceIds(dict):
     """Token ids, as little-endian uint32 bytes, of single pieces, straight from the merge model."""
 
-    def __init__(self, model):
+    def __init__(self, model, most: int = REMEMBERED_WORDS):
         self.model = model
+        self.most = most
         others = (b for b in range(256) if b not in set(PRINTABLE))
         self.signs = {b: 256 + k for k, b in enumerate(others)}
 
     def __missing__(self, piece: str) -> bytes:
-        signs = piece.encode("utf-8").decode("latin-1").translate(self.signs)
+        # Printable ASCII stands for itself.
+        signs = piece if piece.isascii() and piece.isprintable() else piece.encode("utf-8").decode("latin-1").translate(self.signs)
         ids = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
-        if len(self) >= REMEMBERED_WORDS:
+        if len(self) >= self.most:
             self.clear()
         self[piece] = ids
         return ids
@@ -70,13 +72,14 @@ class WordIds(dict):
     normalize characters or find a special token.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, most: int = REMEMBERED_WORDS):
         import regex
 
         self.tokenizer = tokenizer
+        self.most = most
         self.by_word = cuts_words(tokenizer)
         self.old: dict[str, bytes] = {}
-        self.pieces = PieceIds(tokenizer.model)
+        self.pieces = PieceIds(tokenizer.model, most)
         self.cut = regex.compile(PIECE).findall
 
     def encoded(self, text: str) -> bytes:
@@ -84,17 +87,19 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         if (ids := self.old.get(word)) is None:
-            if len(word) > 1000 or max(word) >= "\u0130" or "<|" in word:
+            if len(word) > 1000 or not (word.isascii() or max(word) < "\u0130"):
                 ids = self.encoded(word)
             elif word.isalpha():
                 ids = self.pieces[word.lower()]
             elif word[-1] in ".,!?;:" and word[:-1].isalpha():
                 ids = self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
+            elif "<|" in word:
+                ids = self.encoded(word)
             else:
                 ids = b"".join(map(self.pieces.__getitem__, self.cut(word.lower())))
             if len(word) > 64:
                 return ids
-        if len(self) >= REMEMBERED_WORDS:
+        if len(self) >= self.most:
             self.old = self.copy()
             self.clear()
         self[word] = ids
@@ -102,10 +107,10 @@ class WordIds(dict):
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
+def _word_ids(path: str, most: int = REMEMBERED_WORDS) -> WordIds:
     from tokenizers import Tokenizer
 
-    return WordIds(Tokenizer.from_file(path))
+    return WordIds(Tokenizer.from_file(path), most)
 
 
 def token_bytes(text: str, words: WordIds) -> bytes:
@@ -118,17 +123,18 @@ def token_bytes(text: str, words: WordIds) -> bytes:
     return b"".join(map(words.__getitem__, text.split()))
 
 
-def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", remembered_words: int = REMEMBERED_WORDS) -> DataFrame:
     """``(<id>, text_key, piece, start, length, ids_crc32)``: each document's ids and ``end_id``, cut at ``capacity``.
 
     ``tokenizer_path``: any file of the tokenizers library; for those of the kind of ``cuts_words``
-    the words' ids are remembered. A null text is an empty one: one piece that holds ``end_id``.
+    the words' ids are remembered, ``remembered_words`` in each of two generations (results do not
+    depend on it). A null text is an empty one: one piece that holds ``end_id``.
     """
     end = int(end_id).to_bytes(4, "little")
     names = [id_col, "text_key", *PIECES.names]
 
     def run(batches):
-        words = _word_ids(tokenizer_path)
+        words = _word_ids(tokenizer_path, remembered_words)
         for batch in batches:
             take, piece, start, length, crc = [], [], [], [], []
             for row, text in enumerate(batch.column(2)):

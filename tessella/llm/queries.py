@@ -150,7 +150,7 @@ def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.cut_pieces(read_table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY)
+    pieces = packing.cut_pieces(read_table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY, remembered_words=600_000)
     return packing.pack(pieces, CAPACITY).drop("text_key")
 
 
