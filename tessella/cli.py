@@ -195,7 +195,7 @@ def parser() -> argparse.ArgumentParser:
     stage(build, config="configs/pipeline.yaml", out="")
     stage(tiles, ["out"], config="configs/pipeline.yaml", input_id="", ms_bands="", rgb_bands="", skip_empty=False)
     stage(infer, ["model", "source", "meta", "out"], conf=0.25, iou=0.6, max_det=300, device="auto")
-    stage(merge, ["pred_csv", "out"], meta="data/processed/yolo_dataset_v1/dataset_meta.json", input_id="", min_conf=0.0, nms_iou=0.30, coverage_thresh=0.85, contain_tol_px=3.0, score_margin=0.0)
+    stage(merge, ["pred_csv", "out"], meta="dataset_meta.json", input_id="", min_conf=0.0, nms_iou=0.30, coverage_thresh=0.85, contain_tol_px=3.0, score_margin=0.0)
     stage(export, ["pred", "tiles_meta", "out_gpkg", "layer"], input_id="", min_conf=0.25, dedup=False, dedup_by_class=False, contain_thr=0.9, contain_tol_px=3.0, dup_iou=0.9, crs_override="")
     stage(render, ["pred", "rgb_dir", "out"], tile_size=512, min_conf=0.25, thickness=2, write_empty=False).add_argument("--stride", type=int, required=True)
     stage(evaluate, ["model", "pred", "data"], conf_threshold=0.25, iou_threshold=0.5, split="val", output_dir="outputs/evaluation")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -143,5 +144,5 @@ def checked_tile_size(meta: dict[str, Any], default: int = 512) -> int:
 
 
 def model_size(weights: str) -> str:
-    """The letter of a model's size in the name of its weights file: ``s`` of ``yolo11s.pt``."""
-    return Path(weights).name.removesuffix(".pt").replace("yolo11", "")
+    """What follows a model family's name and number in the name of its weights file: ``s`` of ``net11s.pt``."""
+    return re.sub(r"^[a-z]+\d+", "", Path(weights).name.removesuffix(".pt"))

@@ -353,7 +353,7 @@ def setting_values(spark, sf_dir):
     cfg = config.validate_config(_BASE | {"inputs": [{"id": i, "raster": "r", "masks_gpkg": "g"} for i in "ab"]})
     asked = {
         "tile 512": lambda: config.checked_tile_size({"tile_size": 512}), "tile none": lambda: config.checked_tile_size({}), "tile 32": lambda: config.checked_tile_size({"tile_size": 32}),
-        "model": lambda: config.model_size("weights/yolo11n.pt"), "input b": lambda: cfg.chosen("b")[0].id, "input z": lambda: cfg.chosen("z"),
+        "model": lambda: config.model_size("weights/net11n.pt"), "input b": lambda: cfg.chosen("b")[0].id, "input z": lambda: cfg.chosen("z"),
     }
     out = []
     for name, ask in asked.items():

@@ -173,7 +173,7 @@ def test_configuration(tmp_path):
     (tmp_path / "c.yaml").write_text(json.dumps(good))
     assert config.load_config(tmp_path / "c.yaml", validate=True).run_id == "r"
     assert config.resolve_path("/x", "/y/z").as_posix() == "/y/z" and config.resolve_path("/x", "./y").as_posix() == "/x/y"
-    assert config.checked_tile_size({}) == 512 and config.model_size("w/yolo11s.pt") == "s"
+    assert config.checked_tile_size({}) == 512 and config.model_size("w/net11s.pt") == "s"
     assert cfg.labels.object_class == "circle" and cfg.split.strategy == "block" and cfg.chosen("a")[0].masks_layer == ""
     with pytest.raises(ValueError):
         config.checked_tile_size({"tile_size": 32})
