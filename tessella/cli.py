@@ -111,8 +111,7 @@ def _read_predictions(spark: SparkSession, path: str, meta: str) -> tuple[DataFr
 def _write_results(kept: DataFrame, placed: DataFrame, out: str, layer: str, stem: str, crs: str) -> None:
     tables.write_detections(kept, f"{out}/{stem}.csv", sort=True)
     columns = ["image_id", *(c for c in kept.columns if c not in ("image_id", "det_id")), "minx", "miny", "maxx", "maxy"]
-    files = geopackage.package_per_image(placed.select(*columns), layer, crs=crs, stem=stem)
-    log.info("%d GeoPackages", geopackage.write_files(files, out))
+    log.info("%d GeoPackages", geopackage.write_packages(placed.select(*columns), out, layer, crs=crs, stem=stem))
 
 
 def merge(args: argparse.Namespace) -> int:
@@ -139,8 +138,7 @@ def export(args: argparse.Namespace) -> int:
     kept = write_through(pipelines.export_detections(write_through(rows, "detections"), args.min_conf, args.dedup, args.dedup_by_class, args.contain_thr, args.contain_tol_px, args.dup_iou), "exported")
     target = Path(args.out_gpkg)
     placed = pipelines.georeference(kept, headers).drop("det_id")
-    files = geopackage.package_per_image(placed, args.layer, crs=args.crs_override or "undefined", stem=target.stem)
-    log.info("%d GeoPackages", geopackage.write_files(files, str(target.parent)))
+    log.info("%d GeoPackages", geopackage.write_packages(placed, str(target.parent), args.layer, crs=args.crs_override or "undefined", stem=target.stem))
     return 0
 
 

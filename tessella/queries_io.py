@@ -168,7 +168,7 @@ def _packages(spark: SparkSession, sf_dir: str) -> str:
     """A folder of one GeoPackage an image, and a file that is none."""
     folder = new_folder(spark, "packages")
     placed = pipelines.georeference(fx.detections(spark, sf_dir), fx.rasters(spark, sf_dir)).select("image_id", "det_id", "class_id", "conf", "minx", "miny", "maxx", "maxy")
-    geopackage.write_files(geopackage.package_per_image(placed, "detections", 32633, "a CRS"), folder)
+    geopackage.write_packages(placed, folder, "detections", 32633, "a CRS")
     tables.write_text("no package", f"{folder}/notes.txt")
     return folder
 

@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 import os
+import shutil
 import sqlite3
 import struct
 import tempfile
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..storage import dealt_out
 from .rasters import Ranges
 
 #: Row numbers of a layer that one task reads.
 SPAN = 50_000
 LAYER = "path string, layer string, data_type string, srs_id long, rows long"
 FEATURE = "path string, layer string, fid long, srs_id long, geom_type string, empty boolean, parts array<array<array<struct<x: double, y: double>>>>, minx double, miny double, maxx double, maxy double, attributes map<string, string>"
+BOX = ["minx", "miny", "maxx", "maxy"]
+#: A rectangle as GeoPackage geometry: header with envelope, then a polygon of one ring.
+RECTANGLE = np.dtype([("magic", "S2"), ("version", "u1"), ("flags", "u1"), ("srs", "<i4"), ("envelope", "<f8", 4), ("order", "u1"), ("kind", "<u4"), ("rings", "<u4"), ("points", "<u4"), ("ring", "<f8", 10)])
 TYPES = ("Geometry", "Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon", "GeometryCollection")
 
 
@@ -128,62 +136,144 @@ def read_layer(spark: SparkSession, path: str, layer: str = "") -> DataFrame:
             yield pd.DataFrame(out, columns=["path", "layer", "geom", "low"])
 
     def run(batches):
-        for pdf in batches:
-            for p, name, geom, low in pdf.itertuples(index=False):
-                db = _opened(p)
-                cursor = db.execute(f"SELECT rowid AS _rowid_, * FROM {_quoted(name)} WHERE rowid BETWEEN ? AND ?", (int(low), int(low) + SPAN - 1))
+        for batch in batches:
+            for work in batch.to_pylist():
+                db = _opened(work["path"])
+                cursor = db.execute(f"SELECT rowid AS _rowid_, * FROM {_quoted(work['layer'])} WHERE rowid BETWEEN ? AND ?", (work["low"], work["low"] + SPAN - 1))
                 names = [c[0] for c in cursor.description]
                 while rows := cursor.fetchmany(5000):
-                    yield pd.DataFrame([_feature(p, name, geom, dict(zip(names, r, strict=True))) for r in rows], columns=[c.split(" ")[0] for c in ("path", "layer", "fid", "srs_id", "geom_type", "empty", "parts", "minx", "miny", "maxx", "maxy", "attributes")])
+                    yield _features(work["path"], work["layer"], names, names.index(work["geom"], 1), rows)
                 db.close()
 
     work = _files(spark, path).mapInPandas(spans, "path string, layer string, geom string, low long")
-    return work.repartition("path", "low").mapInPandas(run, FEATURE)
-
+    # Spans are few and short rows: without a number of partitions they would be put together into one task.
+    return work.repartition(dealt_out(spark), "path", "low").mapInArrow(run, FEATURE)
+
+
+def _features(path: str, layer: str, names: list[str], geom: int, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of a layer (the row number first, the geometry at ``geom``) as rows of FEATURE."""
+    blobs = [r[geom] for r in rows]
+    shapes = _rectangle_columns(blobs) or _shape_columns(blobs)
+    attributes = [(k, n) for k, n in enumerate(names) if k not in (0, geom)]
+    keys, items, ends = [], [], [0]
+    for r in rows:
+        for k, n in attributes:
+            if r[k] is not None:
+                keys.append(n), items.append(str(r[k]))
+        ends.append(len(keys))
+    texts = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, pa.string()), pa.array(items, pa.string()))
+    same = [pa.array([v] * len(rows), pa.string()) for v in (path, layer)]
+    columns = [*same, pa.array([r[0] for r in rows], pa.int64()), *shapes, texts]
+    return pa.RecordBatch.from_arrays(columns, ["path", "layer", "fid", "srs_id", "geom_type", "empty", "parts", "minx", "miny", "maxx", "maxy", "attributes"])
+
+
+def _nested(spots: np.ndarray, *ends: np.ndarray, nulls: np.ndarray | None = None) -> pa.Array:
+    """Points as rings as parts as rows; ``ends``: the offsets of rings, of parts and of rows."""
+    out = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(spots[:, k])) for k in (0, 1)], ["x", "y"])
+    for k, e in enumerate(ends):
+        mask = pa.array(nulls) if nulls is not None and k == len(ends) - 1 else None
+        out = pa.ListArray.from_arrays(pa.array(e, pa.int32()), out, mask=mask)
+    return out
+
+
+def _rectangle_columns(blobs: list) -> list[pa.Array] | None:
+    """The columns srs_id to maxy where all geometries are as ``_rectangles`` makes them, else None."""
+    if any(b is None or len(b) != RECTANGLE.itemsize for b in blobs):
+        return None
+    made = np.frombuffer(b"".join(blobs), RECTANGLE)
+    fixed = {"magic": b"GP", "flags": 3, "order": 1, "kind": 3, "rings": 1, "points": 5}
+    if not all((made[n] == v).all() for n, v in fixed.items()):
+        return None
+    ring = made["ring"].reshape(-1, 5, 2)
+    if np.isnan(ring).any():
+        return None
+    rows = len(made)
+    bounds = [pa.array(f(ring[:, :, k], axis=1)) for f, k in ((np.min, 0), (np.min, 1), (np.max, 0), (np.max, 1))]
+    parts = _nested(ring.reshape(-1, 2), np.arange(rows + 1) * 5, np.arange(rows + 1), np.arange(rows + 1))
+    return [pa.array(made["srs"].astype(np.int64)), pa.array(["Polygon"] * rows), pa.array(np.zeros(rows, bool)), parts, *bounds]
+
+
+def _shape_columns(blobs: list) -> list[pa.Array]:
+    """The columns srs_id to maxy of any geometries."""
+    out: list[tuple] = []
+    spots, rings, parts, ends = [], [0], [0], [0]
+    for blob in blobs:
+        if blob is None:
+            out.append((None, None, True, *(None,) * 4))
+        else:
+            srs, empty, wkb = split_header(blob)
+            kind, found = parse_wkb(wkb)
+            own = [q for part in found for ring in part for q in ring]
+            bounds = (min(x for x, _ in own), min(y for _, y in own), max(x for x, _ in own), max(y for _, y in own)) if own else (None,) * 4
+            out.append((srs, kind, empty or not own, *bounds))
+            spots += own
+            for part in found:
+                for ring in part:
+                    rings.append(rings[-1] + len(ring))
+                parts.append(len(rings) - 1)
+        ends.append(len(parts) - 1)
+    nested = _nested(np.array(spots, float).reshape(-1, 2), np.array(rings), np.array(parts), np.array(ends), nulls=np.array([b is None for b in blobs]))
+    srs, kind, empty, *bounds = zip(*out, strict=True)
+    return [pa.array(srs, pa.int64()), pa.array(kind, pa.string()), pa.array(empty, pa.bool_()), nested, *(pa.array(b, pa.float64()) for b in bounds)]
+
+
+def _column_kinds(rows: pd.DataFrame) -> dict[str, str]:
+    kind = lambda c: "INTEGER" if pd.api.types.is_integer_dtype(rows[c]) else "REAL" if pd.api.types.is_float_dtype(rows[c]) else "TEXT"
+    return {c: kind(c) for c in rows.columns if c not in BOX}
 
-def _feature(path: str, layer: str, geom: str, row: dict) -> tuple:
-    fid, blob = row.pop("_rowid_"), row.pop(geom)
-    attributes = {k: str(v) for k, v in row.items() if v is not None}
-    if blob is None:
-        return path, layer, fid, None, None, True, None, *(None,) * 4, attributes
-    srs, empty, wkb = split_header(blob)
-    kind, parts = parse_wkb(wkb)
-    spots = [q for part in parts for ring in part for q in ring]
-    bounds = (min(x for x, _ in spots), min(y for _, y in spots), max(x for x, _ in spots), max(y for _, y in spots)) if spots else (None,) * 4
-    shaped = [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
-    return path, layer, fid, srs, kind, empty or not spots, shaped, *bounds, attributes
 
+class _Package:
+    """A GeoPackage with one polygon layer on the local disk, written a batch of rows at a time."""
 
-def package_bytes(rows: pd.DataFrame, layer: str, srs_id: int = 0, crs: str = "undefined") -> bytes:
-    """A GeoPackage with one polygon layer: the rectangles minx..maxy, and all other columns as attributes."""
-    box = ["minx", "miny", "maxx", "maxy"]
-    others = [c for c in rows.columns if c not in box]
-    kind = lambda c: "INTEGER" if pd.api.types.is_integer_dtype(rows[c]) else "REAL" if pd.api.types.is_float_dtype(rows[c]) else "TEXT"
-    with tempfile.TemporaryDirectory() as folder:
-        file = os.path.join(folder, "out.gpkg")
-        db = sqlite3.connect(file)
-        db.executescript(f"""PRAGMA application_id = 1196444487; PRAGMA user_version = 10300;
+    def __init__(self, file: str, layer: str, kinds: dict[str, str], srs_id: int, crs: str):
+        self.layer, self.names, self.srs_id = layer, list(kinds), srs_id
+        self.bounds = np.array([np.nan] * 4)
+        self.db = db = sqlite3.connect(file)
+        db.executescript(f"""PRAGMA journal_mode = OFF; PRAGMA synchronous = OFF; PRAGMA application_id = 1196444487; PRAGMA user_version = 10300;
 CREATE TABLE gpkg_spatial_ref_sys (srs_name TEXT NOT NULL, srs_id INTEGER PRIMARY KEY, organization TEXT NOT NULL, organization_coordsys_id INTEGER NOT NULL, definition TEXT NOT NULL, description TEXT);
 CREATE TABLE gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT NOT NULL, identifier TEXT UNIQUE, description TEXT DEFAULT '', last_change DATETIME DEFAULT (strftime('%Y-%m-%dT%H:%M:%fZ','now')), min_x DOUBLE, min_y DOUBLE, max_x DOUBLE, max_y DOUBLE, srs_id INTEGER);
 CREATE TABLE gpkg_geometry_columns (table_name TEXT PRIMARY KEY, column_name TEXT NOT NULL, geometry_type_name TEXT NOT NULL, srs_id INTEGER NOT NULL, z TINYINT NOT NULL, m TINYINT NOT NULL);
-CREATE TABLE {_quoted(layer)} (fid INTEGER PRIMARY KEY AUTOINCREMENT, geom BLOB{"".join(f", {_quoted(c)} {kind(c)}" for c in others)});""")
+CREATE TABLE {_quoted(layer)} (fid INTEGER PRIMARY KEY AUTOINCREMENT, geom BLOB{"".join(f", {_quoted(c)} {k}" for c, k in kinds.items())});""")
         for name, ident, org in (("Undefined cartesian SRS", -1, "NONE"), ("Undefined geographic SRS", 0, "NONE"), (crs, srs_id, "EPSG" if srs_id > 0 else "NONE")):
             db.execute("INSERT OR REPLACE INTO gpkg_spatial_ref_sys VALUES (?, ?, ?, ?, ?, NULL)", (name, ident, org, ident, crs if ident == srs_id else "undefined"))
-        bounds = [None if rows.empty else float(f(rows[c])) for f, c in ((min, "minx"), (min, "miny"), (max, "maxx"), (max, "maxy"))]
-        db.execute("INSERT INTO gpkg_contents (table_name, data_type, identifier, min_x, min_y, max_x, max_y, srs_id) VALUES (?, 'features', ?, ?, ?, ?, ?, ?)", (layer, layer, *bounds, srs_id))
         db.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'POLYGON', ?, 0, 0)", (layer, srs_id))
-        plain = lambda v: None if v is None or v != v else v.item() if hasattr(v, "item") else v
-        made = ((_rectangle(*r[:4], srs_id), *map(plain, r[4:])) for r in rows[box + others].itertuples(index=False))
-        db.executemany(f"INSERT INTO {_quoted(layer)} (geom{''.join(', ' + _quoted(c) for c in others)}) VALUES (?{', ?' * len(others)})", made)
-        db.commit()
-        db.close()
+
+    def add(self, rows: pd.DataFrame) -> None:
+        values = [_rectangles(rows[BOX].to_numpy(dtype=float), self.srs_id)]
+        for c in self.names:
+            there = rows[c].notna()
+            values.append(rows[c].tolist() if there.all() else rows[c].astype(object).where(there, None).tolist())
+        self.db.executemany(f"INSERT INTO {_quoted(self.layer)} (geom{''.join(', ' + _quoted(c) for c in self.names)}) VALUES (?{', ?' * len(self.names)})", zip(*values, strict=True))
+        low, high = rows[BOX[:2]].min().to_numpy(dtype=float), rows[BOX[2:]].max().to_numpy(dtype=float)
+        self.bounds = np.r_[np.fmin(self.bounds[:2], low), np.fmax(self.bounds[2:], high)]
+
+    def close(self) -> None:
+        bounds = [None if np.isnan(v) else float(v) for v in self.bounds]
+        self.db.execute("INSERT INTO gpkg_contents (table_name, data_type, identifier, min_x, min_y, max_x, max_y, srs_id) VALUES (?, 'features', ?, ?, ?, ?, ?, ?)", (self.layer, self.layer, *bounds, self.srs_id))
+        self.db.commit()
+        self.db.close()
+
+
+def package_bytes(rows: pd.DataFrame, layer: str, srs_id: int = 0, crs: str = "undefined") -> bytes:
+    """A GeoPackage with one polygon layer: the rectangles minx..maxy, and all other columns as attributes."""
+    with tempfile.TemporaryDirectory() as folder:
+        file = os.path.join(folder, "out.gpkg")
+        package = _Package(file, layer, _column_kinds(rows), srs_id, crs)
+        package.add(rows)
+        package.close()
         with open(file, "rb") as f:
             return f.read()
 
 
-def _rectangle(x1: float, y1: float, x2: float, y2: float, srs_id: int) -> bytes:
-    ring = (x2, y1, x2, y2, x1, y2, x1, y1, x2, y1)
-    return struct.pack("<2sBBi4d", b"GP", 0, 3, srs_id, x1, x2, y1, y2) + struct.pack("<BIII10d", 1, 3, 1, 5, *ring)
+def _rectangles(box: np.ndarray, srs_id: int) -> list[bytes]:
+    """GeoPackage geometries of rectangles (minx, miny, maxx, maxy), with their envelopes."""
+    made = np.zeros(len(box), RECTANGLE)
+    made["magic"], made["flags"], made["srs"] = b"GP", 3, srs_id
+    made["order"], made["kind"], made["rings"], made["points"] = 1, 3, 1, 5
+    made["envelope"] = box[:, [0, 2, 1, 3]]
+    made["ring"] = box[:, [2, 1, 2, 3, 0, 3, 0, 1, 2, 1]]
+    raw, size = made.tobytes(), RECTANGLE.itemsize
+    return [raw[k : k + size] for k in range(0, len(raw), size)]
 
 
 def package_per_image(detections: DataFrame, layer: str = "detections", srs_id: int = 0, crs: str = "undefined", stem: str = "detections_merged") -> DataFrame:
@@ -195,6 +285,46 @@ def package_per_image(detections: DataFrame, layer: str = "detections", srs_id:
     return detections.groupBy("image_id").applyInPandas(run, "name string, content binary")
 
 
+def write_packages(detections: DataFrame, folder: str, layer: str = "detections", srs_id: int = 0, crs: str = "undefined", stem: str = "detections_merged") -> int:
+    """Write the files of ``package_per_image`` and count them, holding a batch of rows at a time and no file.
+
+    One task writes an image's file, as the format is one file: it grows on the task's own disk and is
+    then copied. ``folder`` must be mounted at the same place on all executors.
+    """
+    kinds = {f.name: "INTEGER" if isinstance(f.dataType, T.IntegralType) else "REAL" if isinstance(f.dataType, T.FractionalType) else "TEXT" for f in detections.schema if f.name not in BOX}
+
+    def save(batches):
+        n, image, package = 0, None, None
+        with tempfile.TemporaryDirectory() as own:
+            file = os.path.join(own, "out.gpkg")
+
+            def finish() -> None:
+                package.close()
+                whole = os.path.join(folder, f"{stem}_{image[0]}.gpkg".lstrip("/"))
+                os.makedirs(os.path.dirname(whole), exist_ok=True)
+                part = f"{whole}.{os.getpid()}.part"
+                shutil.copyfile(file, part)
+                os.replace(part, whole)  # a retried task leaves one whole file
+                os.remove(file)
+
+            for pdf in batches:
+                # Rows come by image, so a file is whole when the next image begins.
+                for key, rows in pdf.groupby("image_id", sort=False, dropna=False):
+                    key = (None if pd.isna(key) else key,)
+                    if package is None or key != image:
+                        if package is not None:
+                            finish()
+                        n, image, package = n + 1, key, _Package(file, layer, kinds, srs_id, crs)
+                    package.add(rows)
+            if package is not None:
+                finish()
+        yield pd.DataFrame({"n": [n]})
+
+    # A number of partitions that is given is kept, so images are not gathered in one task.
+    dealt = detections.repartition(dealt_out(detections.sparkSession), "image_id").sortWithinPartitions("image_id")
+    return dealt.mapInPandas(save, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_files(files: DataFrame, folder: str) -> int:
     """Write ``(name, content)`` rows as files, names with folders among them, and count them; ``folder``
     must be mounted at the same place on all executors."""

@@ -55,3 +55,9 @@ def append_through(df: DataFrame, tag: str, path: str | None = None) -> str:
     path = path or _new_path(df.sparkSession, tag)
     df.write.mode("append").parquet(path)
     return path
+
+
+def dealt_out(spark: SparkSession) -> int:
+    """Partitions for few rows that make much work: a number given to ``repartition`` is kept, while tables that
+    look small are otherwise put together into one task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
