@@ -9,8 +9,22 @@ from pyspark.sql import functions as F
 TILE_NAME = r"(?i)tile_(?:([^_]+)_)?r(\d+)_c(\d+)\.(?:tif|tiff|png|jpg|jpeg)$"
 
 
+def _four(number: Column) -> Column:
+    """As the format %04d; the usual numbers without the cost of a format."""
+    return F.when((number >= 0) & (number < 10_000), F.lpad(number.cast("string"), 4, "0")).otherwise(F.format_string("%04d", number))
+
+
+def tile_row_id(image_id: Column, row: Column) -> Column:
+    """What the names of a row of tiles begin with."""
+    return F.concat(F.coalesce(image_id, F.lit("null")), F.lit("_r"), _four(row))
+
+
+def tile_col_id(col: Column) -> Column:
+    return F.concat(F.lit("_c"), _four(col))
+
+
 def tile_id(image_id: Column, row: Column, col: Column) -> Column:
-    return F.format_string("%s_r%04d_c%04d", image_id, row, col)
+    return F.concat(tile_row_id(image_id, row), tile_col_id(col))
 
 
 def tile_file(image_id: Column, row: Column, col: Column, extension: str = "tif") -> Column:

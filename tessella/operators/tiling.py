@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.naming import tile_id
+from ..functions.naming import tile_col_id, tile_row_id
+from ..storage import dealt_out
+
+#: Rows of tiles that a task makes at once.
+BAND = 16
 
 
 def tile_size_from_ground(metres: float, pixel_size: Column) -> Column:
@@ -43,15 +49,39 @@ def tile_count(size: Column, tile: Column, stride: Column, cover: bool) -> Colum
     return (F.ceil(steps) if cover else F.floor(steps)).cast("int") + 1
 
 
-def tile_grid(rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool, width: str = "w", height: str = "h", image_id: str = "image_id") -> DataFrame:
-    """``(image_id, tile_r, tile_c, x0, y0, tile_id)`` for each tile of each raster.
+def tile_grid(rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool, width: str = "w", height: str = "h", image_id: str = "image_id", carry: Sequence[str] = ()) -> DataFrame:
+    """``(image_id, tile_r, tile_c, x0, y0, tile_id)`` and columns ``carry`` of the raster for each tile of each raster.
 
     Without ``cover_edges`` only whole tiles inside the raster count; with it the last row and column
     may reach beyond it (to be padded). A raster smaller than a tile by a stride or more gives none.
+    A table of rasters is small and its grid large, so bands of rows are dealt to tasks before tiles are made.
     """
-    tile, step = F.lit(tile_size), F.lit(stride)
-    along = lambda n, size: F.explode(F.when(tile_count(F.col(size), tile, step, cover_edges) > 0, F.sequence(F.lit(0), tile_count(F.col(size), tile, step, cover_edges) - 1)).otherwise(F.array().cast("array<int>"))).alias(n)
-    rows = rasters.select(F.col(image_id).alias("image_id"), F.col(width), along("tile_r", height))
-    cells = rows.select("image_id", "tile_r", along("tile_c", width))
+    step = F.lit(stride)
+    bands = _shaped(rasters, tile_size, stride, cover_edges, width, height, F.col(image_id).alias("image_id"), *carry)
+    bands = bands.withColumn("_first", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1, F.lit(BAND))))
+    bands = bands.repartition(dealt_out(rasters.sparkSession), "image_id", "_first")
+    rows = bands.withColumn("tile_r", F.explode(F.sequence("_first", F.least(F.col("_first") + BAND, F.col("_nr")) - 1)))
+    # What all tiles of a row share is made once.
+    rows = rows.withColumn("_stem", tile_row_id(F.col("image_id"), F.col("tile_r")))
+    cells = rows.withColumn("tile_c", F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)))
     x0, y0 = (F.col("tile_c") * step).alias("x0"), (F.col("tile_r") * step).alias("y0")
-    return cells.select("image_id", "tile_r", "tile_c", x0, y0, tile_id(F.col("image_id"), F.col("tile_r"), F.col("tile_c")).alias("tile_id"))
+    return cells.select("image_id", "tile_r", "tile_c", x0, y0, F.concat("_stem", tile_col_id(F.col("tile_c"))).alias("tile_id"), *carry)
+
+
+def _shaped(rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool, width: str, height: str, *columns: Column | str) -> DataFrame:
+    """``columns`` and the tiles along the height ``_nr`` and the width ``_nc`` of rasters that have tiles."""
+    nr, nc = (tile_count(F.col(n), F.lit(tile_size), F.lit(stride), cover_edges) for n in (height, width))
+    return rasters.select(*columns, nr.alias("_nr"), nc.alias("_nc")).filter("_nr > 0 AND _nc > 0")
+
+
+def grid_counts(rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool, width: str = "w", height: str = "h") -> DataFrame:
+    """``rasters`` that have tiles plus ``n_rows``, ``n_cols`` and ``tiles`` (long) of their grid."""
+    made = _shaped(rasters, tile_size, stride, cover_edges, width, height, "*")
+    return made.withColumn("tiles", F.col("_nr").cast("long") * F.col("_nc")).withColumnsRenamed({"_nr": "n_rows", "_nc": "n_cols"})
+
+
+def grid_places(rasters: DataFrame, tile_size: int, stride: int, cover_edges: bool, width: str = "w", height: str = "h") -> DataFrame:
+    """``(tile_r, tile_c)`` of all tiles of the grids, whatever the image: as many rows as the largest grids have."""
+    widest = _shaped(rasters, tile_size, stride, cover_edges, width, height).groupBy("_nr").agg(F.max("_nc").alias("_nc"))
+    rows = widest.select(F.explode(F.sequence(F.lit(0), F.col("_nr") - 1)).alias("tile_r"), "_nc").groupBy("tile_r").agg(F.max("_nc").alias("_nc"))
+    return rows.select("tile_r", F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)).alias("tile_c"))

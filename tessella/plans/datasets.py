@@ -135,7 +135,7 @@ def make_tiles(spark: SparkSession, cfg: PipelineConfig, out: str, input_id: str
     if not ms or not rgb:
         raise ValueError("bands for the tiles and for their previews must be given")
     headers, side, stride = sized(write_through(open_inputs(spark, inputs, resolve), "headers"), cfg)
-    grid = tiling.tile_grid(headers, side, stride, cover_edges=True).join(headers.select("image_id", "path", "nodata", "a", "c", "e", "f"), "image_id")
+    grid = tiling.tile_grid(headers, side, stride, cover_edges=True, carry=("path", "nodata", "a", "c", "e", "f"))
     pixels = rasters.read_windows(grid.repartition("image_id", "tile_r"), [*ms, *rgb], side, boundless=True)
     own = F.slice("bands", 1, len(ms))
     mask = F.when(F.col("nodata").isNull(), stretch.pixel_mask(own, None)).otherwise(stretch.pixel_mask(own, F.col("nodata")))

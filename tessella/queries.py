@@ -120,7 +120,7 @@ def pixel_size(spark, sf_dir):
 @query("window_bounds", f"WITH {fx.TILES.format(way='floor')} SELECT tile_id, a*x0+c minx, e*(y0+256)+f miny, a*(x0+256)+c maxx, e*y0+f maxy FROM tiles JOIN rasters USING (image_id)")
 def window_bounds(spark, sf_dir):
     r = fx.rasters(spark, sf_dir)
-    j = tiling.tile_grid(r, TILE, STRIDE, False).join(r, "image_id")
+    j = tiling.tile_grid(r, TILE, STRIDE, False, carry=tuple("abcdef"))
     b = georef.window_bounds(georef.Affine.of(), F.col("x0"), F.col("y0"), F.lit(TILE))
     return j.select("tile_id", *b.columns(("minx", "miny", "maxx", "maxy")))
 
@@ -248,7 +248,8 @@ _SPLIT = "draws(key, split) AS (VALUES " + _draw_rows(60, 60, 6) + ")"
 
 @query("block_split", f"WITH {fx.TILES.format(way='ceil')}, {_SPLIT} SELECT tile_id, split FROM tiles JOIN draws ON key=xor(cast(tile_r//6 AS bigint)*1000003, cast(tile_c//6 AS bigint))")
 def block_split(spark, sf_dir):
-    return split.with_split(_grid(True)(spark, sf_dir), RATIOS, 42, 6).select("tile_id", "split")
+    places = tiling.grid_places(fx.rasters(spark, sf_dir), TILE, STRIDE, True)
+    return split.with_split(_grid(True)(spark, sf_dir), RATIOS, 42, 6, places=places).select("tile_id", "split")
 
 
 @query("split_counts", f"WITH {_LABELS}, {_SPLIT} SELECT split, count(DISTINCT tile_id) AS tiles_written, count(*) AS labels_written FROM labels JOIN draws ON key=xor(cast(tile_r//6 AS bigint)*1000003, cast(tile_c//6 AS bigint)) GROUP BY split")
