@@ -304,13 +304,13 @@ def overlay_pixels(spark, sf_dir):
 @query("tiles_metadata", f"WITH {fx.TILES.format(way='ceil')} SELECT image_id AS id, w, h, cast(max(tile_r)+1 AS int) AS n_rows, cast(max(tile_c)+1 AS int) AS n_cols, count(*) AS tiles_written FROM tiles JOIN rasters USING (image_id) GROUP BY ALL")
 def tiles_metadata(spark, sf_dir):
     """The metadata file of inference tiles, written and read back."""
-    r = fx.rasters(spark, sf_dir)
-    grid = tiling.tile_grid(r, TILE, STRIDE, True).groupBy("image_id").agg((F.max("tile_r") + 1).alias("r"), (F.max("tile_c") + 1).alias("c"), F.count("*").alias("n"))
-    rows = grid.join(r, "image_id").collect()  # a row for each raster that the file names
-    inputs = [{"id": x["image_id"], "raster": "", "crs": "", "raster_size_px": [x["w"], x["h"]], "pixel_size": [10.0, 10.0], "n_rows": x["r"], "n_cols": x["c"], "tiles_written": x["n"], "tiles_skipped_all_nodata": 0} for x in rows]
+    g = tiling.grid_counts(fx.rasters(spark, sf_dir), TILE, STRIDE, True)
+    none = F.lit("")
+    shape, pixel = F.array("w", "h").alias("raster_size_px"), F.array(F.lit(10.0), F.lit(10.0)).alias("pixel_size")
+    inputs = g.select(F.col("image_id").alias("id"), none.alias("raster"), none.alias("crs"), shape, pixel, "n_rows", "n_cols", F.col("tiles").alias("tiles_written"), F.lit(0).cast("long").alias("tiles_skipped_all_nodata"))
     folder = new_folder(spark, "tiles")
-    tables.write_json(tables.tiles_meta(inputs, TILE, STRIDE, [1], [1], False), f"{folder}/tiles_meta.json")
-    i = tables.read_tiles_meta(spark, f"{folder}/tiles_meta.json").select(F.explode("inputs").alias("i")).select("i.*")
+    tables.write_tiles_meta(inputs, f"{folder}/tiles_meta.json", TILE, STRIDE, [1], [1], False)
+    i = tables.read_tiles_inputs(spark, f"{folder}/tiles_meta.json")
     return i.select("id", F.get("raster_size_px", 0).alias("w"), F.get("raster_size_px", 1).alias("h"), "n_rows", "n_cols", "tiles_written")
 
 

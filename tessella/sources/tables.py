@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import codecs
 import json
+import shutil
+from collections.abc import Iterator
+from itertools import islice
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import label_line
-from ..schema import DETECTION, TILES_META, require
+from ..schema import DETECTION, RASTER_META, TILES_META, require
+from ..storage import new_folder
+from .rasters import Ranges
 
 #: File names that count as tiles.
 TILE_FILES = r"(?i)\.(tif|tiff|png|jpg|jpeg)$"
@@ -74,6 +81,116 @@ def read_tiles_meta(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TILES_META).json(path, multiLine=True)
 
 
+def write_tiles_meta(inputs: DataFrame, path: str, tile_size: int, stride: int, ms_bands: list[int], rgb_bands: list[int], skip_empty: bool) -> None:
+    """The file of ``tiles_meta`` for a table of inputs (as RASTER_META), which may be too large for the driver.
+
+    Tasks write the inputs as lines of text, one each; the driver only copies these into the one file.
+    """
+    parts = new_folder(inputs.sparkSession, "inputs")
+    lines = F.to_json(F.struct(*inputs.columns), {"ignoreNullFields": "false"})
+    inputs.select(lines).write.mode("overwrite").text(f"file://{parts}")
+    files = sorted(f for f in Path(parts).glob("part-*") if f.stat().st_size)
+    few = []
+    for f in files:
+        with f.open(encoding="utf-8") as source:
+            few += [json.loads(line) for line in islice(source, 2 - len(few))]
+    meta = tiles_meta(few, tile_size, stride, ms_bands, rgb_bands, skip_empty)
+    before, after = json.dumps(meta | {"inputs": []}, indent=2).split("[]", 1)
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with Path(path).open("w", encoding="utf-8") as out:
+        out.write(before + "[")
+        comma = "\n"
+        for f in files:
+            with f.open(encoding="utf-8") as source:
+                for line in source:
+                    out.write(comma + line.rstrip("\n"))
+                    comma = ",\n"
+        out.write("]" + after + "\n")
+    shutil.rmtree(parts)
+
+
+def read_tiles_inputs(spark: SparkSession, path: str) -> DataFrame:
+    """The inputs that a file of ``tiles_meta`` names, a row each (as RASTER_META); the file is never held as a whole."""
+
+    def run(batches):
+        for pdf in batches:
+            for p in pdf["path"]:
+                with Ranges(p) as source:
+                    texts = json_items(source.file, "inputs")
+                    while some := list(islice(texts, 5000)):
+                        yield pd.DataFrame({"text": some})
+
+    found = spark.createDataFrame([(str(path),)], "path string").mapInPandas(run, "text string")
+    return found.select(F.from_json("text", RASTER_META).alias("i")).select("i.*")
+
+
+def json_items(file, key: str, chunk: int = 1 << 20) -> Iterator[str]:
+    """The texts of the items of the list that stands under ``key`` in the one object of a JSON file of UTF-8 bytes."""
+    decode = codecs.getincrementaldecoder("utf-8")().decode
+    parse = json.JSONDecoder().raw_decode
+    text, at, over = "", 0, False
+
+    def more() -> None:
+        nonlocal text, at, over
+        # Twice as much as is left, so an item longer than a chunk is not read anew for each chunk.
+        data = file.read(max(chunk, len(text) - at))
+        over = not data
+        text, at = text[at:] + decode(data, over), 0
+
+    def char() -> str:
+        nonlocal at
+        while True:
+            while at < len(text) and text[at] in " \t\r\n":
+                at += 1
+            if at < len(text):
+                return text[at]
+            if over:
+                raise ValueError("the JSON ends too early")
+            more()
+
+    def value() -> str:
+        """The text of the next value, which is then behind."""
+        nonlocal at
+        char()
+        while True:
+            try:
+                end = parse(text, at)[1]
+                # A number may go on in what follows.
+                if end < len(text) or over:
+                    found, at = text[at:end], end
+                    return found
+            except json.JSONDecodeError:
+                if over:
+                    raise
+            more()
+
+    def step(*wanted: str) -> str:
+        nonlocal at
+        found = char()
+        if found not in wanted:
+            raise ValueError(f"{found} where one of {wanted} is due in JSON")
+        at += 1
+        return found
+
+    step("{")
+    if char() == "}":
+        return
+    while True:
+        name = json.loads(value())
+        step(":")
+        if name == key and char() == "[":
+            step("[")
+            if char() == "]":
+                return
+            while True:
+                yield value()
+                if step(",", "]") == "]":
+                    return
+        value()
+        if step(",", "}") == "}":
+            return
+
+
 def dataset_meta(run_id: str, inputs: list[dict], bands: list[int], rgb: list[int], tile_size: int, stride: int, min_area_fraction: float, min_bbox_px: int, ratios: dict[str, float], seed: int, block_tiles: int, counts: DataFrame, skipped: int) -> dict:
     """Metadata of a training dataset; ``counts``: a row per split, as ``split_counts`` makes it."""
     rows = {r["split"]: r for r in counts.collect()}
