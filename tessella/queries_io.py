@@ -141,8 +141,7 @@ def _class_sql(classes: tuple[int, ...]) -> str:
 @query("class_metrics", _class_sql((0, 1, 2)))
 def class_metrics(spark, sf_dir):
     d, t = fx.detections(spark, sf_dir).filter(bx.confident(F.col("conf"), 0.25)), fx.truth(spark, sf_dir)
-    parts = [ev.evaluate(d, t, k, 0.5).select(F.lit(k).alias("class_id"), F.round("ap", 9).alias("ap"), "precision", "recall") for k in (0, 1, 2)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return ev.evaluate_classes(d, t, (0, 1, 2), 0.5).select("class_id", F.round("ap", 9).alias("ap"), "precision", "recall")
 
 
 @query("metrics_file", f"WITH RECURSIVE {_MATCH}{_AP} SELECT 'm' AS model, ap, p AS precision, r AS recall FROM ap, fin")
