@@ -1,4 +1,4 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles; MinHash bands find the pairs to compare."""
+"""Near-duplicates by exact Jaccard similarity of word shingles; SimHash links and MinHash bands find the pairs to compare."""
 
 from __future__ import annotations
 
@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 
 from .common import materialize, slices, text_key
 from .components import connected_components
-from .simhash import keep_heads, shingle_hashes
+from .simhash import keep_heads, majority_of, near_links, shingle_hashes
 
 SEED = 42
 #: Bands of ROWS least hashes: a pair of similarity s shares no band with probability (1-s^ROWS)^BANDS,
 #: 3 in 10^6 at 0.8.
 BANDS, ROWS = 24, 4
+#: Differing bits of the SimHash fingerprints that are linked.
+RADIUS = 2
 #: Members of a bucket that all others are compared with.
 HEADS = 8
 #: Shingles whose hashes are held at once, 8 * BANDS * ROWS bytes each.
@@ -50,7 +52,7 @@ def band_keys(members: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``(<id>, text_key, sig, n, keys)`` per row: a 64-bit name of its shingle set, the set's size, its bands."""
+    """``(<id>, text_key, sig, n, fp, keys)`` per row: a 64-bit name of its shingle set, the set's size, its SimHash fingerprint, its bands."""
     import xxhash
 
     def run(batches):
@@ -58,11 +60,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
             sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
             sigs = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             sizes = np.array([len(s) for s in sets], np.int64)
+            fps = np.array([majority_of(s.view(np.uint64)) for s in sets], np.int64)
             keys = pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sigs), pa.array(sizes), keys], names=[id_col, "text_key", "sig", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sigs), pa.array(sizes), pa.array(fps), keys], names=[id_col, "text_key", "sig", "n", "fp", "keys"])
 
     long = T.LongType()
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(c, long) for c in ("text_key", "sig", "n")), T.StructField("keys", T.ArrayType(long))])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(c, long) for c in ("text_key", "sig", "n", "fp")), T.StructField("keys", T.ArrayType(long))])
     return docs.select(F.col(id_col), text_key(text_col).alias("text_key"), F.col(text_col)).mapInArrow(run, schema)
 
 
@@ -104,6 +107,19 @@ def _scattered(dealt: DataFrame, roots: DataFrame) -> DataFrame:
     return materialize(placed.join(split, "key", "left_semi"), "left")
 
 
+def _pairs_by_simhash(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of sets whose SimHash fingerprints are linked at RADIUS bits or fewer: one set stands for
+    each fingerprint, and the others that have it are paired with that one."""
+    named = materialize(rows.select("fp", "sig", "n").distinct(), "named")
+    least = materialize(named.groupBy("fp").agg(F.min(F.struct("sig", "n")).alias("h")).select("fp", F.col("h.sig").alias("one"), F.col("h.n").alias("one_n")), "fps")
+    links = materialize(near_links(least, RADIUS), "links")
+    ends = [least.select(F.col("fp").alias(c), F.col("one").alias(f"{c}_sig"), F.col("one_n").alias(f"{c}_n")) for c in "ab"]
+    linked = links.join(ends[0], "a").join(ends[1], "b").select("a_sig", "a_n", "b_sig", "b_n")
+    same = named.join(least, "fp").filter("sig <> one").select(F.col("sig").alias("a_sig"), F.col("n").alias("a_n"), F.col("one").alias("b_sig"), F.col("one_n").alias("b_n"))
+    near = linked.unionByName(same).filter(_near("a_n", "b_n", threshold))
+    return near.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct()
+
+
 def _pairs_with_heads(left: DataFrame, threshold: float) -> DataFrame:
     """Pairs ``(a, b)`` of each bucket's members with the HEADS of them that meet most others, where not connected."""
     turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "sig"))
@@ -145,8 +161,9 @@ def _near(n: str, m: str, threshold: float) -> Column:
 def similar_classes(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(<id>, text_key, root)`` per row; rows share a root if links of Jaccard ``threshold`` connect them.
 
-    Rows of equal shingle sets are one node; texts without a word are one class. First each member of
-    a bucket is compared with the member that meets most others in all its buckets, as a text does of
+    Rows of equal shingle sets are one node; texts without a word are one class. First sets whose SimHash
+    fingerprints are linked are compared. At RADIUS bits these are hardly all pairs of 0.8, so MinHash bands
+    give more: each member of a bucket is compared with the member that meets most others in all its buckets, as a text does of
     which others are changed copies; then, in buckets that do not lie in one component, with HEADS such
     members: work in proportion to the members. Members that are still apart are paired by rare
     shingles, so that no pair that shares a band is passed over unless it is connected already.
@@ -159,9 +176,11 @@ def similar_classes(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_
     crowded = materialize(crowded.join(met, "sig").select("key", "sig", "n", "met"), "crowded")
     heads = crowded.groupBy("key").agg(F.min(F.struct((-F.col("met")).alias("minus"), "sig", "n")).alias("h"))
     heads = materialize(heads.select("key", F.col("h.sig").alias("head"), F.col("h.n").alias("head_n")), "heads")
-    sets = _sets_of(docs, rows, met.select("sig"), id_col, text_col, words)
-    first = crowded.join(heads, "key").filter((F.col("sig") != F.col("head")) & _near("n", "head_n", threshold)).select(F.least("sig", "head").alias("a"), F.greatest("sig", "head").alias("b")).distinct()
-    seen = materialize(first, "pairs")
+    linked = materialize(_pairs_by_simhash(rows, threshold), "linked")
+    wanted = met.select("sig").unionByName(linked.select(F.explode(F.array("a", "b")).alias("sig"))).distinct()
+    sets = _sets_of(docs, rows, wanted, id_col, text_col, words)
+    first = crowded.join(heads, "key").filter((F.col("sig") != F.col("head")) & _near("n", "head_n", threshold)).select(F.least("sig", "head").alias("a"), F.greatest("sig", "head").alias("b"))
+    seen = materialize(first.unionByName(linked).distinct(), "pairs")
     links = materialize(_alike(seen, sets, threshold), "alike")
     left = _scattered(crowded, _roots(links))
     for pairs_of in (_pairs_with_heads, lambda left, t: _pairs_by_prefix(left, sets, t)):

@@ -61,6 +61,14 @@ def majority_bits(texts: list[str | None], words: int = 3) -> np.ndarray:
     return np.packbits(2 * ones > totals[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def majority_of(hashes: np.ndarray) -> int:
+    """The fingerprint of one text from its shingle hashes, as a signed long."""
+    ones = np.zeros(BITS, np.int64)
+    for first in range(0, len(hashes), HASHES_AT_ONCE):
+        ones += np.unpackbits(hashes[first : first + HASHES_AT_ONCE].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """``(<id>, text_key, fp)`` for each row: its id, a 64-bit key of its text, its fingerprint as a signed long."""
 
